@@ -155,6 +155,36 @@ def trade_bars(trades: DataFrame, interval_sec: int = 60, start=None, end=None)
     )
 
 
+def trade_gaps(trades: DataFrame, interval_sec: int = 60, start=None, end=None) -> DataFrame:
+    """BAR-1 / BAR-1a: per trade, the previous trade time inside the same bar and the gap in ms.
+
+    The first trade of a bar is its own predecessor (gap 0).  Ordering work is
+    split the same way as in ``trade_bars``: ``lag`` inside one second, and the
+    first trade of a second links to the last trade of the previous non-empty
+    second of the bar through the per-second table.
+    """
+    t = _in_range(trades, "timestamp", start, end).select(
+        "exchange", "symbol", "trade_id", "timestamp", _epoch_seconds(F.col("timestamp")).alias("sec")
+    )
+    t = t.withColumn("bar_time", _bar_of_seconds(F.col("sec"), interval_sec))
+    in_sec = Window.partitionBy("exchange", "symbol", "sec").orderBy("timestamp", "trade_id")
+    local = t.withColumn("_prev", F.lag("timestamp").over(in_sec))
+    secs = t.groupBy("exchange", "symbol", "bar_time", "sec").agg(F.max("timestamp").alias("_last"))
+    by_bar = Window.partitionBy("exchange", "symbol", "bar_time").orderBy("sec")
+    links = secs.select("exchange", "symbol", "sec", F.lag("_last").over(by_bar).alias("_link"))
+    joined = local.join(links, ["exchange", "symbol", "sec"], "left")
+    prev = F.coalesce(F.col("_prev"), F.col("_link"), F.col("timestamp"))
+    return joined.select(
+        "exchange",
+        "symbol",
+        "bar_time",
+        "trade_id",
+        "timestamp",
+        prev.alias("prev_trade_ts"),
+        (epoch_millis(F.col("timestamp")) - epoch_millis(prev)).alias("gap_ms"),
+    )
+
+
 # --------------------------------------------------------------------------- other sources
 
 

@@ -151,3 +151,19 @@ def lineitem_trades(lineitem: DataFrame) -> DataFrame:
         (price * qty).alias("notional"),
         F.concat(F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("trade_id"),
     )
+
+
+def data_range(events: DataFrame) -> tuple[str, str]:
+    """Whole-day UTC range covering every event: [first day, day after the last).
+
+    One global min/max aggregation (answered from parquet statistics where
+    possible); the driver receives a single row.
+    """
+    from datetime import datetime, timezone
+
+    row = events.agg(
+        F.unix_seconds(F.date_trunc("day", F.min(F.col("ts").cast("timestamp")))).alias("s"),
+        F.unix_seconds(F.date_trunc("day", F.max(F.col("ts").cast("timestamp"))) + F.expr("INTERVAL 1 DAY")).alias("e"),
+    ).first()
+    fmt = "%Y-%m-%dT%H:%M:%SZ"
+    return tuple(datetime.fromtimestamp(int(row[k]), tz=timezone.utc).strftime(fmt) for k in ("s", "e"))

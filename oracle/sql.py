@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 
 # ----------------------------------------------------------------- presentation
 
+QUANT = 0.7071067811865476
+QUANT_SQL = f"CAST('{QUANT!r}' AS DOUBLE)"
+
 
 def _kind(dtype: T.DataType) -> str:
     if isinstance(dtype, T.DoubleType):
@@ -24,6 +27,8 @@ def _kind(dtype: T.DataType) -> str:
         return "i"
     if isinstance(dtype, T.LongType):
         return "l"
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        return "a"
     return "s"
 
 
@@ -38,20 +43,44 @@ def present_sql(inner: str, columns: list[tuple[str, str]], scaled: tuple[str, .
     for name, kind in columns:
         q = f'"{name}"'
         if kind == "d":
-            base = f"CAST({q} AS DOUBLE)" + (" * 1e6" if name in scaled else "")
-            exprs.append(f"round({base}, 6) + 0.0 AS {q}")
+            base = f"CAST({q} AS DOUBLE)" + (" * CAST(1000000 AS DOUBLE)" if name in scaled else "")
+            exprs.append(f"round({base} * {QUANT_SQL}, 6) / {QUANT_SQL} + CAST(0 AS DOUBLE) AS {q}")
         elif kind == "t":
             exprs.append(f"CAST({q} AS TIMESTAMP) AS {q}")
         elif kind == "i":
             exprs.append(f"CAST({q} AS INTEGER) AS {q}")
         elif kind == "l":
             exprs.append(f"CAST({q} AS BIGINT) AS {q}")
+        elif kind == "a":
+            exprs.append(q)
         else:
             exprs.append(f"CAST({q} AS VARCHAR) AS {q}")
     return f"SELECT {', '.join(exprs)} FROM (\n{inner}\n) AS q"
 
 
+class SqlExpr(str):
+    """A timestamp given as SQL text (e.g. derived from the data) instead of a literal."""
+
+
+BOUNDS_CTE = """
+bounds AS (
+    SELECT date_trunc('day', min(ts)) AS s, date_trunc('day', max(ts)) + INTERVAL 1 DAY AS e FROM events
+)"""
+DATA_START = SqlExpr("(SELECT s FROM bounds)")
+DATA_END = SqlExpr("(SELECT e FROM bounds)")
+
+
+def shift(value, seconds: int):
+    if isinstance(value, SqlExpr):
+        return SqlExpr(f"({value} + to_seconds(CAST({int(seconds)} AS BIGINT)))")
+    from datetime import timedelta
+
+    return parse_utc(value) + timedelta(seconds=seconds)
+
+
 def ts_lit(value) -> str:
+    if isinstance(value, SqlExpr):
+        return str(value)
     dt = parse_utc(value)
     return "TIMESTAMP '" + dt.strftime("%Y-%m-%d %H:%M:%S.%f")[:-3] + "'"
 
@@ -233,14 +262,12 @@ def bars_ctes(n: int, start=None, end=None, p: str = "", out: str = "bars") -> s
     parts = [trade_bars_ctes(n, start, end, p), source_bars_ctes(n, start, end, p)]
     grid = bool(start and end)
     if grid:
-        s = parse_utc(start)
-        e = parse_utc(end)
-        count = max(int((e - s).total_seconds() // n), 0)
         parts.append(f"""
 {p}syms AS (SELECT DISTINCT exchange, symbol FROM trades WHERE {cond('timestamp', start, end)}),
 {p}grid AS (
-    SELECT exchange, symbol, {ts_lit(start)} + to_seconds(CAST(g.k * {n} AS BIGINT)) AS bar_time
-    FROM {p}syms, (SELECT unnest(range(0, {count})) AS k) AS g
+    SELECT exchange, symbol, bar_time FROM {p}syms,
+        (SELECT unnest(generate_series({ts_lit(start)}, {ts_lit(end)} - to_seconds(CAST({n} AS BIGINT)), to_seconds(CAST({n} AS BIGINT)))) AS bar_time) AS g
+    WHERE bar_time < {ts_lit(end)}
 ),
 {p}gp AS (
     SELECT g.exchange, g.symbol, g.bar_time, t.close AS prev_close
@@ -303,3 +330,232 @@ def bars_ctes(n: int, start=None, end=None, p: str = "", out: str = "bars") -> s
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip("\n") for c in ctes)
+
+
+def dbl(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def bucket_expr(column: str, n: int) -> str:
+    return bucket(column, n)
+
+
+# ----------------------------------------------------------------- rollup
+
+SUMS = [
+    "volume", "turnover", "trade_count", "buy_volume", "sell_volume", "buy_turnover", "sell_turnover",
+    "signed_sqrt_dollar_volume", "large_trade_count", "large_trade_volume", "ob_snapshot_count",
+    "liq_buy_volume", "liq_sell_volume", "liq_buy_turnover", "liq_sell_turnover", "liq_count",
+]
+
+
+def rollup_cte(n: int, src: str = "bars", out: str = "roll", start=None, end=None) -> str:
+    m = n // 60
+    sums = ", ".join(f"sum({c}) AS {c}" for c in SUMS)
+    means = ", ".join(
+        f"coalesce(sum({c} * ob_snapshot_count) / nullif(sum(ob_snapshot_count), 0), CAST(0 AS DOUBLE)) AS {c}" for c in BOOK_MEANS
+    )
+    return f"""
+{out} AS (
+    SELECT exchange, symbol, {n} AS bar_interval_sec, rb AS bar_time,
+           arg_min(open, bar_time) AS open, max(high) AS high, min(low) AS low, arg_max(close, bar_time) AS close,
+           {sums},
+           coalesce(sum(turnover) / nullif(sum(volume), 0), CAST(0 AS DOUBLE)) AS vwap,
+           CASE WHEN count(*) = {m} AND min(is_time_bar_complete) = 1 THEN 1 ELSE 0 END AS is_time_bar_complete,
+           max(has_book_data) AS has_book_data, max(has_open_interest_data) AS has_open_interest_data,
+           max(has_funding_data) AS has_funding_data,
+           {means},
+           arg_min(open_interest_open, bar_time) AS open_interest_open,
+           arg_max(open_interest_close, bar_time) AS open_interest_close,
+           arg_max(funding_rate, bar_time) FILTER (WHERE funding_rate IS NOT NULL) AS funding_rate,
+           min(first_trade_ts) AS first_trade_ts, max(last_trade_ts) AS last_trade_ts,
+           max(max_trade_gap_ms) AS max_trade_gap_ms
+    FROM (SELECT *, {bucket('bar_time', n)} AS rb FROM {src}
+          WHERE bar_interval_sec = 60 AND {cond('bar_time', start, end)})
+    GROUP BY exchange, symbol, rb
+)"""
+
+
+# ----------------------------------------------------------------- features
+
+W = "PARTITION BY exchange, symbol, bar_interval_sec ORDER BY bar_time"
+
+
+def _past(n: int) -> str:
+    return f"({W} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+
+
+def _ahead(n: int) -> str:
+    return f"({W} ROWS BETWEEN 1 FOLLOWING AND {n} FOLLOWING)"
+
+
+def _rnull(n_expr: str, need: int, value: str) -> str:
+    return f"CASE WHEN {n_expr} < {need} THEN CAST(NULL AS DOUBLE) ELSE coalesce({value}, CAST(0 AS DOUBLE)) END"
+
+
+def _r0(num: str, den: str) -> str:
+    return f"coalesce(({num}) / nullif({den}, 0), CAST(0 AS DOUBLE))"
+
+
+def features_ctes(n: int, src: str = "bars", out: str = "feat", start=None, end=None, p: str = "f") -> str:
+    lo = shift(start, -61 * n) if start else None
+    w4 = [round(x, 10) for x in fixed_weights(0.4, 5)]
+    w6 = [round(x, 10) for x in fixed_weights(0.6, 5)]
+
+    def frac(ws):
+        terms = [f"({dbl(ws[0])} * close)"] + [f"({dbl(ws[k])} * cl{k})" for k in range(1, 6)]
+        return " + ".join(terms)
+
+    lags = ", ".join(f"coalesce(lag(close, {k}) OVER ({W}), CAST(0 AS DOUBLE)) AS cl{k}" for k in range(1, 6))
+
+    def sd(c, k):
+        return _rnull(f"count({c}) OVER {_past(k)}", 2, f"stddev_samp({c}) OVER {_past(k)}")
+
+    def z(c, k):
+        return _rnull(
+            f"count({c}) OVER {_past(k)}", 2,
+            f"({c} - avg({c}) OVER {_past(k)}) / nullif(stddev_samp({c}) OVER {_past(k)}, 0)",
+        )
+
+    def vp(k):
+        return _rnull(f"count(volume) OVER {_past(k)}", 1, f"sum(abs(delta_volume)) OVER {_past(k)} / nullif(sum(volume) OVER {_past(k)}, 0)")
+
+    def ac(k):
+        return (
+            f"CASE WHEN count(ax) OVER {_past(k)} >= 2 AND stddev_samp(ax) OVER {_past(k)} * stddev_samp(ay) OVER {_past(k)} > {dbl(1e-18)} "
+            f"THEN covar_samp(ax, ay) OVER {_past(k)} / (stddev_samp(ax) OVER {_past(k)} * stddev_samp(ay) OVER {_past(k)}) END"
+        )
+
+    return f"""
+{p}1 AS (
+    SELECT *, lag(close) OVER ({W}) AS prev_close, lag(open_interest_close) OVER ({W}) AS prev_oi_close,
+           coalesce(lag(has_open_interest_data) OVER ({W}), 0) AS prev_has_oi, {lags}
+    FROM {src} WHERE bar_interval_sec = {n} AND {cond('bar_time', lo, end)}
+),
+{p}2 AS (
+    SELECT *,
+        CASE WHEN prev_close IS NOT NULL THEN coalesce(ln(CASE WHEN close / nullif(prev_close, 0) > 0 THEN close / nullif(prev_close, 0) END), CAST(0 AS DOUBLE)) END AS log_return,
+        {_r0('close - open', 'open')} AS co_return,
+        {_r0('high - low', 'close')} AS hl_range,
+        CASE WHEN high = low THEN {dbl(0.5)} ELSE (close - low) / (high - low) END AS close_position,
+        CASE WHEN prev_close IS NOT NULL THEN {_r0('open - prev_close', 'prev_close')} END AS gap_return,
+        {_r0('buy_volume', 'volume')} AS buy_ratio,
+        buy_volume - sell_volume AS delta_volume,
+        {_r0('volume', 'trade_count')} AS avg_trade_size,
+        CAST(NULL AS DOUBLE) AS large_trade_pct,
+        {_r0('close - vwap', 'vwap')} AS close_vwap_bias,
+        avg_spread_bps AS spread_bps, avg_imbalance_top1 AS imbalance_top1, avg_imbalance_top5 AS imbalance_top5,
+        {_r0('avg_top5_bid_depth', 'avg_top5_ask_depth')} AS depth_ratio_5,
+        {_r0('avg_microprice - avg_mid_price', 'avg_mid_price')} AS microprice_bias,
+        CAST(ob_snapshot_count AS DOUBLE) AS ob_quality,
+        CASE WHEN has_open_interest_data = 1 AND prev_has_oi = 1 THEN open_interest_close - prev_oi_close ELSE CAST(0 AS DOUBLE) END AS oi_change,
+        CASE WHEN has_open_interest_data = 1 AND prev_has_oi = 1 THEN {_r0('open_interest_close - prev_oi_close', 'prev_oi_close')} ELSE CAST(0 AS DOUBLE) END AS oi_change_pct,
+        {_r0('liq_buy_volume - liq_sell_volume', 'liq_buy_volume + liq_sell_volume')} AS liq_imbalance,
+        {_r0('liq_count', 'trade_count')} AS liq_intensity,
+        {_r0('liq_buy_volume + liq_sell_volume', 'volume')} AS liq_volume_pct,
+        CAST(hour(bar_time) AS INTEGER) AS hour_of_day,
+        CAST(isodow(bar_time) AS INTEGER) AS day_of_week,
+        {frac(w4)} AS frac_diff_0_4,
+        {frac(w6)} AS frac_diff_0_6
+    FROM {p}1
+),
+{p}3 AS (
+    SELECT *, lag(log_return) OVER ({W}) AS prev_lr FROM {p}2
+),
+{p}4 AS (
+    SELECT *,
+        CASE WHEN log_return IS NOT NULL THEN log_return * signed_sqrt_dollar_volume END AS kx,
+        CASE WHEN log_return IS NOT NULL THEN signed_sqrt_dollar_volume * signed_sqrt_dollar_volume END AS kxx,
+        CASE WHEN log_return IS NOT NULL AND prev_lr IS NOT NULL THEN log_return END AS ax,
+        CASE WHEN log_return IS NOT NULL AND prev_lr IS NOT NULL THEN prev_lr END AS ay
+    FROM {p}3
+),
+{p}5 AS (
+    SELECT *,
+        {sd('log_return', 5)} AS realized_vol_5,
+        {sd('log_return', 20)} AS realized_vol_20,
+        {sd('log_return', 60)} AS realized_vol_60,
+        {z('volume', 20)} AS volume_zscore_20,
+        {_rnull(f"count(volume) OVER {_past(5)}", 1, f"avg(volume) OVER {_past(5)} / nullif(avg(volume) OVER {_past(20)}, 0)")} AS volume_ratio_5_20,
+        {_rnull(f"count(log_return) OVER {_past(20)}", 1, f"sum(kx) OVER {_past(20)} / nullif(sum(kxx) OVER {_past(20)}, 0)")} AS kyle_lambda_approx,
+        {vp(5)} AS vpin_5, {vp(10)} AS vpin_10, {vp(20)} AS vpin_20,
+        {z('oi_change', 20)} AS oi_zscore_20,
+        {ac(5)} AS autocorrelation_5,
+        {ac(20)} AS autocorrelation_20
+    FROM {p}4
+),
+{out} AS (
+    SELECT *,
+        CASE WHEN realized_vol_5 IS NOT NULL AND realized_vol_20 IS NOT NULL THEN {_r0('realized_vol_5', 'realized_vol_20')} END AS vol_ratio_5_20,
+        CASE WHEN log_return IS NOT NULL THEN {_r0('abs(log_return)', 'turnover')} END AS amihud_illiquidity,
+        log_return - prev_lr AS price_acceleration
+    FROM {p}5 WHERE {cond('bar_time', start, end)}
+)"""
+
+
+# ----------------------------------------------------------------- labels
+
+
+def labels_ctes(n: int, src: str = "bars", out: str = "lab", start=None, end=None, lookback: int = 60, p: str = "l") -> str:
+    lo = shift(start, -lookback * n) if start else None
+    hi = shift(end, 60 * n) if end else None
+    leads = ", ".join(f"lead(close, {h}) OVER ({W}) AS c{h}" for h in (1, 5, 10, 20, 60))
+    rets = ", ".join(f"c{h} / nullif(close, 0) - 1 AS fwd_return_{h}" for h in (1, 5, 10, 20, 60))
+
+    def sgn(c, thr="CAST(0 AS DOUBLE)"):
+        return f"CASE WHEN {c} > {thr} THEN 1 WHEN {c} < -{thr} THEN -1 ELSE 0 END"
+
+    def exc(d, pos, neg):
+        return f"CASE WHEN {d} > 0 THEN {pos} WHEN {d} < 0 THEN {neg} ELSE CAST(0 AS DOUBLE) END"
+
+    return f"""
+{p}1 AS (
+    SELECT *, {leads},
+        count(*) OVER {_ahead(60)} AS fwd_n,
+        max(high) OVER {_ahead(5)} AS h5, min(low) OVER {_ahead(5)} AS l5,
+        max(high) OVER {_ahead(10)} AS h10, min(low) OVER {_ahead(10)} AS l10,
+        list(high) OVER {_ahead(20)} AS hs, list(low) OVER {_ahead(20)} AS ls
+    FROM {src} WHERE bar_interval_sec = {n} AND {cond('bar_time', lo, hi)}
+),
+{p}2 AS (
+    SELECT *, c1 / nullif(close, 0) - 1 AS nbr, {rets} FROM {p}1
+),
+{p}3 AS (
+    SELECT *,
+        CASE WHEN count(nbr) OVER {_past(60)} >= 2 THEN stddev_samp(nbr) OVER {_past(60)} END AS hist_vol,
+        CASE WHEN count(nbr) OVER ({W} ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) >= 2
+             THEN stddev_samp(nbr) OVER ({W} ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) END AS fwd_realized_vol_5
+    FROM {p}2
+),
+{p}4 AS (
+    SELECT *,
+        {sgn('fwd_return_5')} AS fwd_direction_5,
+        {sgn('fwd_return_10')} AS fwd_direction_10,
+        coalesce(hist_vol * {dbl(0.5)}, CAST(0 AS DOUBLE)) AS label_threshold_5,
+        coalesce(hist_vol * {dbl(0.7)}, CAST(0 AS DOUBLE)) AS label_threshold_10,
+        greatest(coalesce(h5 / nullif(close, 0) - 1, CAST(0 AS DOUBLE)), CAST(0 AS DOUBLE)) AS fwd_max_up_5,
+        greatest(coalesce(1 - l5 / nullif(close, 0), CAST(0 AS DOUBLE)), CAST(0 AS DOUBLE)) AS fwd_max_down_5,
+        greatest(coalesce(h10 / nullif(close, 0) - 1, CAST(0 AS DOUBLE)), CAST(0 AS DOUBLE)) AS up10,
+        greatest(coalesce(1 - l10 / nullif(close, 0), CAST(0 AS DOUBLE)), CAST(0 AS DOUBLE)) AS down10,
+        {_r0('h5 - l5', 'close')} AS fwd_range_5
+    FROM {p}3
+),
+{p}5 AS (
+    SELECT *,
+        coalesce(list_position(list_transform(hs, lambda h : h >= close * (1 + label_threshold_10)), true), 0) AS up_hit,
+        coalesce(list_position(list_transform(ls, lambda x : x <= close * (1 - label_threshold_10)), true), 0) AS down_hit
+    FROM {p}4
+),
+{out} AS (
+    SELECT *,
+        {sgn('fwd_return_5', 'label_threshold_5')} AS fwd_label_3class_5,
+        {sgn('fwd_return_10', 'label_threshold_10')} AS fwd_label_3class_10,
+        {exc('fwd_direction_5', 'fwd_max_down_5', 'fwd_max_up_5')} AS mae_5,
+        {exc('fwd_direction_10', 'down10', 'up10')} AS mae_10,
+        {exc('fwd_direction_5', 'fwd_max_up_5', 'fwd_max_down_5')} AS mfe_5,
+        {exc('fwd_direction_10', 'up10', 'down10')} AS mfe_10,
+        CASE WHEN up_hit > 0 AND (down_hit = 0 OR up_hit <= down_hit) THEN 1
+             WHEN down_hit > 0 AND (up_hit = 0 OR down_hit < up_hit) THEN -1 ELSE 0 END AS triple_barrier_signal,
+        CASE WHEN fwd_n = 60 AND c60 IS NOT NULL THEN 1 ELSE 0 END AS is_valid
+    FROM {p}5 WHERE {cond('bar_time', start, end)}
+)"""
