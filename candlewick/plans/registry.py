@@ -750,7 +750,7 @@ def q_stream_ingest(spark, sf):
     c = Ctx(spark, sf)
     store = c.store("landing")
     STR.land_stream(spark, sf, store)
-    return _out(SNK.read_layer(spark, store, "raw.trades").drop("dt"))
+    return _out(SNK.read_layer(spark, store, "raw.trades"))
 
 
 @register("stream_late_repair", _sql(O.trade_bars_ctes(60), select="SELECT * FROM tb", columns=_TB_COLS))

@@ -106,10 +106,10 @@ def read_layer(spark: SparkSession, store: Store, name: str, latest: bool = True
     """Read a layer table with its declared schema (+ partition columns); newest versions only."""
     schema, parts = schemas.LAYERS[name]
     df = spark.read.option("mergeSchema", "true").parquet(store.path(name))
-    df = schemas.conform(df, schema, keep_extra=tuple(parts))
+    # partition columns derived only for layout (dt, ym) are dropped; real columns stay
+    df = schemas.conform(df, schema)
     if latest and any(f.name == "_version" for f in schema.fields):
-        key = schemas.KEY_COLUMNS
-        df = latest_version(df.drop(*parts), key)
+        df = latest_version(df, schemas.KEY_COLUMNS)
     return df
 
 
@@ -165,4 +165,4 @@ def read_raw(spark: SparkSession, store: Store) -> dict[str, DataFrame]:
         "funding": "raw.funding",
         "open_interest": "raw.open_interest",
     }
-    return {k: read_layer(spark, store, v).drop("dt") for k, v in names.items()}
+    return {k: read_layer(spark, store, v) for k, v in names.items()}
