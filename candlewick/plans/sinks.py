@@ -105,6 +105,8 @@ def write_layer(df: DataFrame, store: Store, name: str, run_id: str | None = Non
 def read_layer(spark: SparkSession, store: Store, name: str, latest: bool = True) -> DataFrame:
     """Read a layer table with its declared schema (+ partition columns); newest versions only."""
     schema, parts = schemas.LAYERS[name]
+    # layer tables are appended by other jobs: never reuse a cached file listing
+    spark.catalog.refreshByPath(store.path(name))
     df = spark.read.option("mergeSchema", "true").parquet(store.path(name))
     # partition columns derived only for layout (dt, ym) are dropped; real columns stay
     df = schemas.conform(df, schema)
@@ -132,6 +134,7 @@ def compact_layer(spark: SparkSession, store: Store, name: str, interval_sec: in
         staged.write.mode("overwrite").partitionBy(*parts).parquet(store.path(name))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    spark.catalog.refreshByPath(store.path(name))
 
 
 def export_csv(ds: DataFrame, path: str) -> None:
