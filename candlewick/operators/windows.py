@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK_ROWS = 4096
+DEFAULT_CHUNK_ROWS = 2048
 
 
 @dataclass(frozen=True)
