@@ -785,6 +785,25 @@ def q_export_csv(spark, sf):
     return spark.read.option("header", True).csv(path)
 
 
+@register("schema_bootstrap")
+def q_schema_bootstrap(spark, sf):
+    """SNK-4: bootstrap every layer table, land the raw frames, report schema width and rows per table."""
+    c = Ctx(spark, sf)
+    store = c.store("bootstrap")
+    SNK.bootstrap(spark, store)
+    SNK.land_raw(c.raw, store)
+    parts = [
+        SNK.read_layer(spark, store, name, latest=False).agg(
+            F.lit(name).alias("table_name"), F.lit(len(schema.fields)).alias("column_count"), F.count(F.lit(1)).alias("row_count")
+        )
+        for name, (schema, _) in schemas.LAYERS.items()
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 _RET_NOW = O.shift(E, 76 * 86400)
 
 

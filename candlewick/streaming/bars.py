@@ -2,12 +2,15 @@
 
 * ``land_stream``: file stream of feed messages → normalised raw rows →
   parquet partitioned by event day (``availableNow`` for catch-up runs).
-* ``stream_trade_bars``: event-time tumbling bars with a watermark equal to
-  the safety lag; append mode emits a bar once the watermark passes its end.
-  The in-bar maximum gap needs no ``lag``: the state keeps the distinct
-  millisecond marks of the bar (at most ``interval_sec * 1000`` values, a
-  bound set by the interval, not by the data) and the gap is the largest
-  difference of neighbours after sorting.
+* ``streaming_trade_bars_two_level`` (used by ``stream_bars_to``): event-time
+  tumbling bars with a watermark equal to the safety lag, as a chained
+  aggregation — 1-second windows, then bars of seconds; append mode emits a
+  bar once the watermark passes its end.  The in-bar maximum gap needs no
+  ``lag``: a second keeps its distinct millisecond marks (at most 1000) and a
+  bar keeps one (first ms, last ms, inner gap) struct per non-empty second, so
+  state is bounded by the interval whatever the trade rate.
+  ``streaming_trade_bars`` is the single-level form (state: the distinct
+  milliseconds of a whole bar), fine for short intervals.
 * ``late_repair_sink``: a ``foreachBatch`` sink that recomputes every bar a
   micro-batch touched from the raw layer and appends it with a new
   ``_version``; DED-1 at read time makes the final state equal to a batch run.
@@ -113,6 +116,99 @@ def streaming_trade_bars(trades: DataFrame, interval_sec: int = 60, delay: str =
     )
 
 
+def streaming_trade_bars_two_level(trades: DataFrame, interval_sec: int = 60, delay: str = DEFAULT_SAFETY_LAG) -> DataFrame:
+    """STR-1 with bounded state: per-second windows first, then bars of seconds.
+
+    State per open second holds at most 1000 millisecond marks; state per open
+    bar holds one small struct per non-empty second (at most ``interval_sec``),
+    whatever the trade rate.  The second windows feed the bar windows through
+    ``window_time`` (chained event-time aggregation, append mode).
+    """
+    schemas.validate_interval(interval_sec)
+    buy = F.col("side") == "buy"
+    sell = F.col("side") == "sell"
+    root = F.sqrt("notional")
+    secs = (
+        trades.withWatermark("timestamp", delay)
+        .groupBy(F.window("timestamp", "1 second"), "exchange", "symbol")
+        .agg(
+            F.min(F.struct("timestamp", "trade_id", "price")).alias("o"),
+            F.max(F.struct("timestamp", "trade_id", "price")).alias("c"),
+            F.max("price").alias("hi"),
+            F.min("price").alias("lo"),
+            F.sum("quantity").alias("vol"),
+            F.sum("notional").alias("turn"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.when(buy, F.col("quantity"))).alias("bv"),
+            F.sum(F.when(sell, F.col("quantity"))).alias("sv"),
+            F.sum(F.when(buy, F.col("notional"))).alias("bt"),
+            F.sum(F.when(sell, F.col("notional"))).alias("st"),
+            F.sum(F.when(buy, root)).alias("bsq"),
+            F.sum(F.when(sell, root)).alias("ssq"),
+            F.min("timestamp").alias("first_ts"),
+            F.max("timestamp").alias("last_ts"),
+            F.array_sort(F.collect_set(epoch_millis(F.col("timestamp")))).alias("ms"),
+        )
+    )
+    ms = F.col("ms")
+    k = F.size(ms) - 1
+    inner = F.coalesce(F.array_max(F.zip_with(F.slice(ms, 2, k), F.slice(ms, 1, k), lambda a, b: a - b)), F.lit(0).cast("long"))
+    secs = secs.select(
+        F.window_time("window").alias("sec_time"),
+        "exchange",
+        "symbol",
+        "o", "c", "hi", "lo", "vol", "turn", "n", "bv", "sv", "bt", "st", "bsq", "ssq", "first_ts", "last_ts",
+        F.struct(F.element_at(ms, 1).alias("lo_ms"), F.element_at(ms, -1).alias("hi_ms"), inner.alias("gap")).alias("span"),
+    )
+    bars = secs.groupBy(F.window("sec_time", f"{int(interval_sec)} seconds"), "exchange", "symbol").agg(
+        F.min("o").alias("_o"),
+        F.max("c").alias("_c"),
+        F.max("hi").alias("high"),
+        F.min("lo").alias("low"),
+        F.sum("vol").alias("volume"),
+        F.sum("turn").alias("turnover"),
+        F.sum("n").alias("trade_count"),
+        F.coalesce(F.sum("bv"), F.lit(0.0)).alias("buy_volume"),
+        F.coalesce(F.sum("sv"), F.lit(0.0)).alias("sell_volume"),
+        F.coalesce(F.sum("bt"), F.lit(0.0)).alias("buy_turnover"),
+        F.coalesce(F.sum("st"), F.lit(0.0)).alias("sell_turnover"),
+        F.coalesce(F.sum("bsq"), F.lit(0.0)).alias("_bsq"),
+        F.coalesce(F.sum("ssq"), F.lit(0.0)).alias("_ssq"),
+        F.min("first_ts").alias("_first"),
+        F.max("last_ts").alias("_last"),
+        # one entry per non-empty second of the bar (at most interval_sec)
+        F.array_sort(F.collect_list("span")).alias("_spans"),
+    )
+    spans = F.col("_spans")
+    m = F.size(spans) - 1
+    links = F.zip_with(F.slice(spans, 2, m), F.slice(spans, 1, m), lambda cur, prev: cur["lo_ms"] - prev["hi_ms"])
+    inner_max = F.array_max(F.transform(spans, lambda x: x["gap"]))
+    gap = F.greatest(F.coalesce(F.array_max(links), F.lit(0).cast("long")), F.coalesce(inner_max, F.lit(0).cast("long")))
+    return bars.select(
+        "exchange",
+        "symbol",
+        F.col("window.start").alias("bar_time"),
+        F.col("_o.price").alias("open"),
+        "high",
+        "low",
+        F.col("_c.price").alias("close"),
+        "volume",
+        "turnover",
+        "trade_count",
+        "buy_volume",
+        "sell_volume",
+        "buy_turnover",
+        "sell_turnover",
+        (F.col("_bsq") - F.col("_ssq")).alias("signed_sqrt_dollar_volume"),
+        ratio("turnover", "volume").alias("vwap"),
+        F.lit(0).cast("long").alias("large_trade_count"),
+        F.lit(0.0).alias("large_trade_volume"),
+        F.date_trunc("millisecond", "_first").alias("first_trade_ts"),
+        F.date_trunc("millisecond", "_last").alias("last_trade_ts"),
+        gap.alias("max_trade_gap_ms"),
+    )
+
+
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet", partition_by: list[str] | None = None, mode: str = "append") -> None:
     writer = df.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if partition_by:
@@ -126,7 +222,7 @@ def stream_bars_to(spark: SparkSession, sf_dir: str, root: str, interval_sec: in
     trades = fixtures.trade_messages(event_stream(spark, sf_dir))
     from candlewick.sources.normalize import normalize_trades
 
-    bars = streaming_trade_bars(normalize_trades(trades), interval_sec, delay)
+    bars = streaming_trade_bars_two_level(normalize_trades(trades), interval_sec, delay)
     run_id = uuid.uuid4().hex[:10]
     sink = f"{root.rstrip('/')}/stream_bars_{run_id}"
     run_available_now(bars, sink, f"{root.rstrip('/')}/_chk/stream_bars_{run_id}")

@@ -99,3 +99,31 @@ def test_store_roundtrip_versions_and_export(spark, tmp_path):
     SNK.export_csv(fresh.filter("close < 0").select("exchange", "symbol"), out)
     header = spark.read.option("header", True).csv(out)
     assert header.columns == ["exchange", "symbol"] and header.count() == 0
+
+
+def test_streamed_closed_bars_equal_batch(spark):
+    from pyspark.sql import functions as F
+
+    from candlewick.operators.bars import trade_bars
+    from candlewick.sources import fixtures
+    from candlewick.sources.normalize import normalize_trades
+    from candlewick.streaming import bars as STR
+
+    from conftest import SF_SMALL
+
+    streamed = STR.stream_bars_to(spark, SF_SMALL, shared_path(spark, "test_stream"), 300)
+    batch = trade_bars(fixtures.load_raw(spark, SF_SMALL)["trades"], 300)
+    last = batch.agg(F.max("last_trade_ts")).first()[0]
+    assert streamed.count() > 0
+    # every streamed bar is closed and equal to the batch bar (up to summation order)
+    joined = streamed.alias("s").join(batch.alias("b"), ["exchange", "symbol", "bar_time"])
+    assert joined.count() == streamed.count()
+    bad = joined.filter(
+        (F.col("s.trade_count") != F.col("b.trade_count"))
+        | (F.abs(F.col("s.volume") - F.col("b.volume")) > 1e-9)
+        | (F.col("s.open") != F.col("b.open"))
+        | (F.col("s.close") != F.col("b.close"))
+        | (F.col("s.max_trade_gap_ms") != F.col("b.max_trade_gap_ms"))
+    )
+    assert bad.count() == 0
+    assert streamed.filter(F.col("bar_time") > F.lit(last)).count() == 0
