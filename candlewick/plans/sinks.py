@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlewick import schemas
 from candlewick.operators.dedupe import latest_version
@@ -73,6 +74,13 @@ def _with_partitions(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def _read_schema(name: str) -> T.StructType:
+    schema, parts = schemas.LAYERS[name]
+    names = {f.name for f in schema.fields}
+    extra = [T.StructField(p, T.DateType() if p == "dt" else T.StringType(), True) for p in parts if p not in names]
+    return T.StructType(list(schema.fields) + extra)
+
+
 def new_version() -> int:
     return time.time_ns() // 1000
 
@@ -107,7 +115,9 @@ def read_layer(spark: SparkSession, store: Store, name: str, latest: bool = True
     schema, parts = schemas.LAYERS[name]
     # layer tables are appended by other jobs: never reuse a cached file listing
     spark.catalog.refreshByPath(store.path(name))
-    df = spark.read.option("mergeSchema", "true").parquet(store.path(name))
+    # read with the declared schema (never inferred): files written before a column
+    # was added read it as NULL and conform() fills the declared default
+    df = spark.read.schema(_read_schema(name)).parquet(store.path(name))
     # partition columns derived only for layout (dt, ym) are dropped; real columns stay
     df = schemas.conform(df, schema)
     if latest and any(f.name == "_version" for f in schema.fields):
