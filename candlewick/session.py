@@ -59,6 +59,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SCRATCH: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
@@ -67,12 +70,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     gets a fresh scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    context = None
+    try:  # classic sessions only; a Spark Connect client has no SparkContext
+        context = spark.sparkContext
+    except Exception:
+        context = None
+    if not current and context is not None:
+        current = context.getCheckpointDir()
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        current = _SCRATCH.get(id(spark))
     if not current:
         current = tempfile.mkdtemp(prefix="candlewick-ckpt-", dir=os.environ.get("CANDLEWICK_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        _SCRATCH[id(spark)] = current
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # a core setting some deployments refuse at runtime
+            pass
+    if context is not None and not context.getCheckpointDir():
+        context.setCheckpointDir(current)
     return current
 
 
