@@ -11,7 +11,6 @@ and timestamps compare exactly.
 
 from __future__ import annotations
 
-import uuid
 from datetime import timedelta
 from typing import Callable
 

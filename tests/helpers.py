@@ -2,7 +2,6 @@
 
 from datetime import datetime, timezone
 
-from pyspark.sql import functions as F
 
 from candlewick import schemas
 

@@ -106,7 +106,6 @@ def test_streamed_closed_bars_equal_batch(spark):
 
     from candlewick.operators.bars import trade_bars
     from candlewick.sources import fixtures
-    from candlewick.sources.normalize import normalize_trades
     from candlewick.streaming import bars as STR
 
     from conftest import SF_SMALL
