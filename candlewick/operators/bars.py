@@ -158,22 +158,37 @@ def trade_bars(trades: DataFrame, interval_sec: int = 60, start=None, end=None)
 def trade_gaps(trades: DataFrame, interval_sec: int = 60, start=None, end=None) -> DataFrame:
     """BAR-1 / BAR-1a: per trade, the previous trade time inside the same bar and the gap in ms.
 
-    The first trade of a bar is its own predecessor (gap 0).  Ordering work is
-    split the same way as in ``trade_bars``: ``lag`` inside one second, and the
-    first trade of a second links to the last trade of the previous non-empty
-    second of the bar through the per-second table.
+    The first trade of a bar is its own predecessor (gap 0).  Only *distinct*
+    timestamps are ever ordered: trades sharing a timestamp with an earlier
+    trade (ties, ordered by trade_id) have gap 0, so the first trade of each
+    timestamp group links to the previous distinct timestamp.  That ordering
+    runs per (symbol, second) over distinct timestamps — at most one row per
+    microsecond whatever the trade count — and seconds are linked inside a bar
+    through the per-second table (at most ``interval_sec`` rows).  Ties of any
+    size collapse in a partial aggregation; the final join back to the trades
+    is an equi-join AQE can split when one timestamp is hot.
     """
     t = _in_range(trades, "timestamp", start, end).select(
         "exchange", "symbol", "trade_id", "timestamp", _epoch_seconds(F.col("timestamp")).alias("sec")
     )
     t = t.withColumn("bar_time", _bar_of_seconds(F.col("sec"), interval_sec))
-    in_sec = Window.partitionBy("exchange", "symbol", "sec").orderBy("timestamp", "trade_id")
-    local = t.withColumn("_prev", F.lag("timestamp").over(in_sec))
-    secs = t.groupBy("exchange", "symbol", "bar_time", "sec").agg(F.max("timestamp").alias("_last"))
+    stamps = t.groupBy("exchange", "symbol", "bar_time", "sec", "timestamp").agg(F.min("trade_id").alias("_first_id"))
+    in_sec = Window.partitionBy("exchange", "symbol", "sec").orderBy("timestamp")
+    stamps = stamps.withColumn("_prev_in", F.lag("timestamp").over(in_sec))
+    secs = stamps.groupBy("exchange", "symbol", "bar_time", "sec").agg(F.max("timestamp").alias("_last"))
     by_bar = Window.partitionBy("exchange", "symbol", "bar_time").orderBy("sec")
     links = secs.select("exchange", "symbol", "sec", F.lag("_last").over(by_bar).alias("_link"))
-    joined = local.join(links, ["exchange", "symbol", "sec"], "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_link"), F.col("timestamp"))
+    stamps = stamps.join(links, ["exchange", "symbol", "sec"], "left").select(
+        "exchange",
+        "symbol",
+        "timestamp",
+        "_first_id",
+        F.coalesce(F.col("_prev_in"), F.col("_link"), F.col("timestamp")).alias("_prev_distinct"),
+    )
+    joined = t.join(stamps, ["exchange", "symbol", "timestamp"], "inner")
+    # first of its timestamp group (smallest trade_id; an all-NULL-id group is one tie group)
+    first = F.col("trade_id").eqNullSafe(F.col("_first_id"))
+    prev = F.when(first, F.col("_prev_distinct")).otherwise(F.col("timestamp"))
     return joined.select(
         "exchange",
         "symbol",

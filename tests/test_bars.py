@@ -80,3 +80,18 @@ def test_unsupported_interval(spark):
 def test_unaligned_grid_start_rejected(spark):
     with pytest.raises(ValueError, match="aligned"):
         B.time_bars(raw_with_trades(spark, _t(spark)), 60, "2026-03-02T00:00:30Z", "2026-03-02T00:05:00Z")
+
+
+def test_gap_ties_only_first_of_timestamp_links(spark):
+    t = trades(
+        spark,
+        [
+            ("2026-03-02T00:00:01", "A", "buy", 1, 1, "b"),
+            ("2026-03-02T00:00:05", "A", "buy", 1, 1, "d"),
+            ("2026-03-02T00:00:05", "A", "buy", 1, 1, "c"),  # same time: 'c' sorts first
+            ("2026-03-02T00:00:05", "A", "buy", 1, 1, "e"),
+        ],
+    )
+    g = {r["trade_id"]: r["gap_ms"] for r in B.trade_gaps(t, 60).collect()}
+    assert g == {"b": 0, "c": 4000, "d": 0, "e": 0}
+    assert B.trade_bars(t, 60).first()["max_trade_gap_ms"] == 4000
