@@ -131,10 +131,17 @@ def feature_columns(df: DataFrame, layout: windows.SeriesLayout) -> DataFrame:
         return _rolling_null(F.count("volume").over(fr), 1, ratio(F.sum("_adv").over(fr), F.sum("volume").over(fr)))
 
     def autocorr(n: int) -> Column:
+        # Pearson correlation from frame sums (cheaper per row than three
+        # central-moment aggregates); the zero-variance floor is applied to
+        # sd_x * sd_y = sqrt(Sxx * Syy) / (k - 1), as for covar / (sd * sd).
         fr = past(n)
-        den = F.stddev_samp("_ax").over(fr) * F.stddev_samp("_ay").over(fr)
-        cnt = F.count("_ax").over(fr)
-        return F.when((cnt >= 2) & (den > F.lit(CORR_FLOOR)), F.covar_samp("_ax", "_ay").over(fr) / den)
+        k = F.count("_ax").over(fr)
+        sx, sy = F.sum("_ax").over(fr), F.sum("_ay").over(fr)
+        sxx = F.sum(F.col("_ax") * F.col("_ax")).over(fr) - sx * sx / k
+        syy = F.sum(F.col("_ay") * F.col("_ay")).over(fr) - sy * sy / k
+        sxy = F.sum(F.col("_ax") * F.col("_ay")).over(fr) - sx * sy / k
+        root = F.sqrt(F.greatest(sxx, F.lit(0.0)) * F.greatest(syy, F.lit(0.0)))
+        return F.when((k >= 2) & (root / (k - 1) > F.lit(CORR_FLOOR)), sxy / root)
 
     f20 = past(20)
     s4 = s3.select(

@@ -98,11 +98,12 @@ def write_layer(df: DataFrame, store: Store, name: str, run_id: str | None = Non
     out = _with_partitions(schemas.conform(df, schema, defaults=defaults), name)
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    # cluster rows of one series together inside files: min/max stats then prune by key and time
+    # partition columns first (what the partitioned writer needs anyway), then the
+    # series key and time: row groups then carry tight min/max for key and time pruning
     if "bar_time" in out.columns:
-        out = out.sortWithinPartitions("exchange", "symbol", "bar_interval_sec", "bar_time")
+        out = out.sortWithinPartitions(*parts, "exchange", "symbol", "bar_interval_sec", "bar_time")
     elif "timestamp" in out.columns:
-        out = out.sortWithinPartitions("exchange", "symbol", "timestamp")
+        out = out.sortWithinPartitions(*parts, "exchange", "symbol", "timestamp")
     writer = out.write.mode("append")
     if parts:
         writer = writer.partitionBy(*parts)
