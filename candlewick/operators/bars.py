@@ -103,10 +103,12 @@ def trade_seconds(trades: DataFrame, start=None, end=None) -> DataFrame:
     inner_gap = F.array_max(F.zip_with(F.slice(ms, 2, k), F.slice(ms, 1, k), lambda a, b: a - b))
     return sec.select(
         "*",
+        F.col("o.price").alias("o_price"),
+        F.col("c.price").alias("c_price"),
         F.coalesce(inner_gap, F.lit(0).cast("long")).alias("gap_in"),
         F.element_at(ms, 1).alias("ms_min"),
         F.element_at(ms, -1).alias("ms_max"),
-    ).drop("ms")
+    ).drop("ms", "o", "c")
 
 
 def trade_bars(trades: DataFrame, interval_sec: int = 60, start=None, end=None) -> DataFrame:
@@ -115,9 +117,11 @@ def trade_bars(trades: DataFrame, interval_sec: int = 60, start=None, end=None)
     secs = trade_seconds(trades, start, end).withColumn("bar_time", _bar_of_seconds(F.col("sec"), interval_sec))
     w = Window.partitionBy(*KEYS3).orderBy("sec")
     linked = secs.withColumn("gap_link", F.col("ms_min") - F.lag("ms_max").over(w))
+    # seconds are disjoint in time: the bar opens with its first second's open and
+    # closes with its last second's close (no ties on ``sec``, fixed-width buffers)
     bars = linked.groupBy(*KEYS3).agg(
-        F.min("o").alias("o"),
-        F.max("c").alias("c"),
+        F.min_by("o_price", "sec").alias("open"),
+        F.max_by("c_price", "sec").alias("close"),
         F.max("hi").alias("high"),
         F.min("lo").alias("low"),
         F.sum("vol").alias("volume"),
@@ -134,10 +138,10 @@ def trade_bars(trades: DataFrame, interval_sec: int = 60, start=None, end=None)
     )
     return bars.select(
         *KEYS3,
-        F.col("o.price").alias("open"),
+        "open",
         "high",
         "low",
-        F.col("c.price").alias("close"),
+        "close",
         "volume",
         "turnover",
         "trade_count",
