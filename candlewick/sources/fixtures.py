@@ -4,6 +4,12 @@ The driver's ``events`` table stands in for a market feed (symbol = event_type,
 exchange = 'SIM').  Each channel is a projection / filter of the same scan, so
 Catalyst prunes columns and the five frames stay independent, parallel scans.
 ``lineitem`` is a tie-heavy trade source (one timestamp per ship day).
+
+Channel mapping of the test data (fixed values, from the fixture mapping):
+every event is a trade; events whose id is a multiple of 3 also carry a book
+snapshot, of 7 an open-interest print, of 11 a funding print, of 5 a
+liquidation.  This is how one table stands in for five feeds, not sampling:
+every event row reaches the trade channel and every query runs over all rows.
 """
 
 from __future__ import annotations
