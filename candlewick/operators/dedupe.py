@@ -20,3 +20,8 @@ def latest_version(df: DataFrame, keys: list[str], version: str = "_version", ti
         F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct(*[F.col(c) for c in order_cols])).alias("_row")
     )
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload]).select(*df.columns)
+
+
+def latest_symbols(symbols: DataFrame) -> DataFrame:
+    """``meta.symbols`` reference rows: newest ``updated_at`` per (exchange, symbol)."""
+    return latest_version(symbols, ["exchange", "symbol"], version="updated_at", tiebreak=None)

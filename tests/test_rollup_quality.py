@@ -45,3 +45,16 @@ def test_rollup_gap_check(spark):
         raise AssertionError("expected ValueError")
     except ValueError:
         pass
+
+
+def test_latest_symbols_by_updated_at(spark):
+    from datetime import date, datetime, timezone
+
+    from candlewick.operators.dedupe import latest_symbols
+
+    def row(tick, ts):
+        return ("X", "BTC", "BTC", "USDT", "perp", tick, 0.001, date(2020, 1, 1), 1, 0.0, datetime(2026, 1, ts, tzinfo=timezone.utc))
+
+    df = spark.createDataFrame([row(0.1, 1), row(0.5, 3), row(0.2, 2)], schemas.META_SYMBOLS)
+    out = latest_symbols(df).collect()
+    assert len(out) == 1 and out[0]["tick_size"] == 0.5
