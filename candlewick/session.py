@@ -21,6 +21,13 @@ REQUIRED_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# Broadcast policy: the static planner would broadcast from *estimated* sizes;
+# only AQE may broadcast, from the measured size of a materialised stage.
+BROADCAST_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+}
+
 # Settings for throughput.  AQE re-plans joins from runtime sizes (a measured,
 # not guessed, broadcast decision), coalesces small shuffle partitions and
 # splits skewed join partitions.
@@ -43,7 +50,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in {**REQUIRED_CONF, **TUNING_CONF}.items():
+    for key, value in {**REQUIRED_CONF, **BROADCAST_CONF, **TUNING_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -53,7 +60,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the semantic settings to an existing session (e.g. the driver's)."""
-    for key, value in REQUIRED_CONF.items():
+    for key, value in {**REQUIRED_CONF, **BROADCAST_CONF}.items():
         spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark

@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    from candlewick.session import REQUIRED_CONF, TUNING_CONF, configure
+    from candlewick.session import BROADCAST_CONF, REQUIRED_CONF, TUNING_CONF, configure
 
     scratch = tempfile.mkdtemp(prefix="candlewick-test-")
     builder = (
@@ -21,7 +21,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.checkpoint.dir", scratch + "/ckpt")
     )
-    for k, v in {**REQUIRED_CONF, **TUNING_CONF}.items():
+    for k, v in {**REQUIRED_CONF, **BROADCAST_CONF, **TUNING_CONF}.items():
         builder = builder.config(k, v)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
