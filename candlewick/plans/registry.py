@@ -655,7 +655,34 @@ def _half(c: Ctx) -> str:
     return c.offset(15)
 
 
-@register("incremental_window")
+_HALF = O.shift(S, 15 * 86400)
+
+
+def _fmt(col: str) -> str:
+    return f"strftime({col}, '%Y-%m-%dT%H:%M:%SZ')"
+
+
+@register(
+    "incremental_window",
+    _sql(
+        O.bars_ctes(60, S, _HALF, p="m"),
+        O.rollup_cte(3600, src="bars", out="roll", start=S, end=_HALF),
+        O.features_ctes(3600, src="roll", start=S, end=_HALF),
+        O.labels_ctes(3600, src="roll", start=S, end=_HALF),
+        """marks AS (
+    SELECT bar_interval_sec, least(max(bar_time) FILTER (WHERE k = 's'), coalesce(max(bar_time) FILTER (WHERE k = 'f'), max(bar_time) FILTER (WHERE k = 's')),
+                                   coalesce(max(bar_time) FILTER (WHERE k = 'l'), max(bar_time) FILTER (WHERE k = 's'))) AS anchor
+    FROM (SELECT bar_interval_sec, bar_time, 's' AS k FROM bars UNION ALL SELECT bar_interval_sec, bar_time, 's' FROM roll
+          UNION ALL SELECT bar_interval_sec, bar_time, 'f' FROM feat UNION ALL SELECT bar_interval_sec, bar_time, 'l' FROM lab)
+    GROUP BY bar_interval_sec
+)""",
+        select=f"""SELECT bar_interval_sec,
+                   {_fmt("anchor - to_seconds(CAST(bar_interval_sec * 120 AS BIGINT))")} AS window_start,
+                   {_fmt(str(E))} AS window_end
+                   FROM marks""",
+        columns=[("bar_interval_sec", "i"), ("window_start", "s"), ("window_end", "s")],
+    ),
+)
 def q_incremental_window(spark, sf):
     c = Ctx(spark, sf)
     store = c.store("incwin")
