@@ -159,6 +159,34 @@ def retention_filter(book: DataFrame, now=None, days: int = BOOK_RETENTION_DAYS)
     return book.filter(F.col("timestamp") >= ref - F.expr(f"INTERVAL {int(days)} DAYS"))
 
 
+def drop_expired_partitions(spark: SparkSession, store: Store, name: str = "raw.book_topk_raw", now=None, days: int = BOOK_RETENTION_DAYS) -> list[str]:
+    """SNK-3 at scale: delete whole ``dt=`` day partitions older than ``now - days``.
+
+    Metadata-only (a directory delete per expired day, through the Hadoop
+    FileSystem of the table path), so retention never rewrites data.  Returns the
+    dropped partition values.  Needs a classic session (JVM access).
+    """
+    from datetime import date, datetime, timedelta, timezone
+
+    ref = (now if isinstance(now, datetime) else datetime.fromisoformat(str(now).replace("Z", "+00:00"))) if now else datetime.now(timezone.utc)
+    cutoff = (ref - timedelta(days=days)).date()
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(store.path(name))
+    fs = root.getFileSystem(conf)
+    dropped = []
+    if not fs.exists(root):
+        return dropped
+    for status in fs.listStatus(root):
+        part = status.getPath().getName()
+        if status.isDirectory() and part.startswith("dt="):
+            if date.fromisoformat(part[3:]) < cutoff:
+                fs.delete(status.getPath(), True)
+                dropped.append(part[3:])
+    spark.catalog.refreshByPath(store.path(name))
+    return sorted(dropped)
+
+
 def land_raw(frames: dict[str, DataFrame], store: Store) -> dict[str, int]:
     """Append raw frames to the raw layer, partitioned by event day."""
     names = {
