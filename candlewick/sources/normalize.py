@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from candlewick import schemas
 from candlewick.functions.exprs import ratio0
 
+# Fixed value: default number of book levels kept per side.
 DEFAULT_BOOK_DEPTH = 10
 
 
