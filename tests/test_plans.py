@@ -28,3 +28,21 @@ def test_trade_bar_window_is_bounded_by_bar(spark):
     plan = _plan(B.trade_bars(fixtures.raw_frames(ev)["trades"], 60))
     # the only window partitions by the bar key, over per-second rows
     assert "Window [lag(ms_max" in plan.replace("\n", " ") or "lag(ms_max" in plan
+
+
+def test_halo_windows_partition_by_chunk_and_no_static_broadcast(spark):
+    from candlewick.operators.features import time_bar_features
+    from candlewick.session import configure
+
+    from helpers import bars_from_closes
+
+    configure(spark)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    bars = bars_from_closes(spark, [100.0 + (i % 7) for i in range(300)])
+    plan = _plan(time_bar_features(bars, 60, chunk_rows=128))
+    windows = [line for line in plan.split("\n") if "Window [" in line]
+    # feature windows run per (series, chunk); the only others number rows per time slice
+    # (``_ts``: row_number inside a slice, offsets over the small per-slice count table)
+    assert any("_part" in line for line in windows)
+    assert all("_part" in line or "_ts" in line for line in windows)
+    assert "BroadcastHashJoin" not in plan  # initial plan: only AQE may broadcast, from measured sizes
