@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import line_dedup as LD
+from candlewick.llm import packing as PK
 from candlewick.llm import sql as S
-from candlewick.llm.common import table
-from candlewick.session import configure
+from candlewick.llm import token_files as TF
+from candlewick.llm.common import prepare, table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -19,7 +20,7 @@ ORACLE: dict[str, str] = {}
 def register(name: str, oracle: str | None = None):
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         SPARK[name] = run
@@ -34,3 +35,21 @@ def register(name: str, oracle: str | None = None):
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = LD.with_kept_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer file; the package is on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = TF.write_ids(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0)
+    return TF.read_ids(manifest)
+
+
+@register("op8_packing")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PK.pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
