@@ -11,6 +11,7 @@ from candlewick.llm import line_dedup as LD
 from candlewick.llm import packing as PK
 from candlewick.llm import sql as S
 from candlewick.llm import token_files as TF
+from candlewick.llm import warc as WA
 from candlewick.llm.common import prepare, table
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +54,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_packing")
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PK.pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
+
+
+@register("op10_warc", S.OP10)
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    archive = WA.write_archive(pages, min_bytes=0)
+    return WA.read_records(WA.find_captures(archive, pages)).drop("url")

@@ -20,7 +20,7 @@ def make_folder(uri: str) -> None:
 
 def open_output(uri: str):
     system, path = _place(uri)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):

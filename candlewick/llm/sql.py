@@ -21,3 +21,20 @@ with {_LINES.strip()}
 select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
 from marked group by doc_id"""
+
+# Base32 of SHA-1: the 160 bits in steps of 5.
+OP10 = """
+with bodies as (
+  select page_id, sha1(coalesce(html, '')) as hex, strlen(coalesce(html, '')) as payload_bytes from pages),
+numbers as (
+  select hex, list_transform(range(0, 40, 10), lambda i : ('0x' || substr(hex, i + 1, 10))::bigint) as words
+  from (select distinct hex from bodies)),
+digests as (
+  select hex, list_aggregate(list_transform(range(0, 32), lambda j :
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((words[j // 8 + 1] >> ((7 - j % 8) * 5)::int) & 31)::int + 1, 1)), 'string_agg', '') as payload_digest
+  from numbers),
+keepers as (select hex, max(page_id) as keeper from bodies group by hex)
+select page_id, payload_bytes, payload_digest,
+       case when page_id = keeper then 'response' else 'revisit' end as record_type,
+       case when page_id <> keeper then keeper end as refers_to
+from bodies join digests using (hex) join keepers using (hex)"""
