@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.llm import language_id as LI
 from candlewick.llm import line_dedup as LD
 from candlewick.llm import packing as PK
 from candlewick.llm import sql as S
@@ -61,3 +62,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     archive = WA.write_archive(pages, min_bytes=0)
     return WA.read_records(WA.find_captures(archive, pages)).drop("url")
+
+
+@register("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return LI.identify(docs, LI.fit(docs))
