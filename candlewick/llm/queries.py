@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm import language_id as LI
 from candlewick.llm import line_dedup as LD
+from candlewick.llm import minhash_dedup as MH
 from candlewick.llm import packing as PK
 from candlewick.llm import sql as S
 from candlewick.llm import token_files as TF
@@ -68,3 +69,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return LI.identify(docs, LI.fit(docs))
+
+
+@register("op2_minhash_dedup", S.OP2)
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return MH.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")

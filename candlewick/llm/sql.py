@@ -38,3 +38,30 @@ select page_id, payload_bytes, payload_digest,
        case when page_id = keeper then 'response' else 'revisit' end as record_type,
        case when page_id <> keeper then keeper end as refers_to
 from bodies join digests using (hex) join keepers using (hex)"""
+
+_WORDS = f"""
+worded as (
+  select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda w : w <> '') as w
+  from documents),
+shingled as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i : array_to_string(w[i : i + 4], ' '))) end as s
+  from worded)"""
+
+OP2 = f"""
+with recursive {_WORDS.strip()},
+items as (select doc_id, unnest(s) as item from shingled),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as n
+  from items a join items b on a.item = b.item and a.doc_id < b.doc_id group by all),
+links as (
+  select x, y from shared join shingled p on p.doc_id = x join shingled q on q.doc_id = y
+  where 100 * n >= 75 * (len(p.s) + len(q.s) - n)),
+both_ways as (select x, y from links union all select y, x from links),
+reach as (
+  select x, y from both_ways
+  union
+  select r.x, b.y from reach r join both_ways b on b.x = r.y)
+select s.doc_id, len(s.s) as n_shingles, least(s.doc_id, coalesce(min(r.y), s.doc_id)) as component_id,
+       least(s.doc_id, coalesce(min(r.y), s.doc_id)) = s.doc_id as kept
+from shingled s left join reach r on r.x = s.doc_id group by s.doc_id, s.s"""
