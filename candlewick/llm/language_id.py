@@ -29,6 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.llm.shingles import HashArray
 from candlewick.llm.tokens import rows_of
 
 ORDER = 4
@@ -135,35 +136,6 @@ def kneser_ney(texts: list[str]) -> list[dict]:
     return model
 
 
-class HashArray:
-    """Positions of hashes in a sorted array, by the bucket of their leading bits."""
-
-    def __init__(self, keys):
-        import numpy as np
-
-        self.keys = np.append(keys, np.uint64(2**64 - 1))
-        bits = max(1, int(4 * len(keys)).bit_length())
-        self.shift = np.uint64(64 - bits)
-        self.first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
-        self.longest = int(np.diff(np.append(self.first, len(keys))).max())
-
-    def find(self, wanted):
-        """Index of each hash, -1 where it is absent."""
-        import numpy as np
-
-        at = self.first[(wanted >> self.shift).astype(np.int64)]
-        found = np.where(self.keys[at] == wanted, at, np.int32(-1))
-        left = np.flatnonzero(found < 0)
-        for _ in range(1, self.longest):
-            left = left[self.keys[at[left]] < wanted[left]]
-            if not len(left):
-                break
-            at[left] += 1
-            hit = left[self.keys[at[left]] == wanted[left]]
-            found[hit] = at[hit]
-        return found
-
-
 @dataclass
 class Model:
     languages: list[str]

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.llm import decontamination as DC
 from candlewick.llm import language_id as LI
 from candlewick.llm import line_dedup as LD
 from candlewick.llm import minhash_dedup as MH
@@ -74,3 +75,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_minhash_dedup", S.OP2)
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MH.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@register("op5_decontamination")
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DC.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

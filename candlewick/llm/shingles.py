@@ -1,7 +1,7 @@
 """Hashes of words and of word shingles for many texts at once (numpy).
 
 Words are runs of bytes other than ASCII white space, with A-Z in lower case.
-A word's hash is a polynomial in 2^64 over random values of its bytes, mixed
+With ``plain`` set, ASCII punctuation separates words as well.  A word's hash is a polynomial in 2^64 over random values of its bytes, mixed
 with its length.  A shingle's hash mixes the hashes of its words in order.
 """
 
@@ -22,7 +22,9 @@ def _tables(size: int):
         random[upper] = random[upper + 32]
         space = np.zeros(256, bool)
         space[[9, 10, 11, 12, 13, 32]] = True
-        _STATE.update(random=random, space=space, base=pow(0x9E3779B97F4A7C15, 1, 1 << 64), powers=np.ones(1, np.uint64), inverse=np.ones(1, np.uint64))
+        plain = space.copy()
+        plain[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
+        _STATE.update(random=random, space=space, plain=plain, base=pow(0x9E3779B97F4A7C15, 1, 1 << 64), powers=np.ones(1, np.uint64), inverse=np.ones(1, np.uint64))
     if len(_STATE["powers"]) < size:
         size = max(size, 1 << 20)
         base = _STATE["base"]
@@ -30,7 +32,7 @@ def _tables(size: int):
             row = np.full(size, step, np.uint64)
             row[0] = 1
             _STATE[name] = np.cumprod(row, dtype=np.uint64)
-    return _STATE["random"], _STATE["space"], _STATE["powers"], _STATE["inverse"]
+    return _STATE["random"], _STATE["powers"], _STATE["inverse"]
 
 
 def mix(h):
@@ -42,13 +44,13 @@ def mix(h):
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(texts: list[bytes]):
+def word_hashes(texts: list[bytes], plain: bool = False):
     """(hashes of all words, first[i], first[i + 1]: where text i's words are, byte start and end of each word in its text)."""
     import numpy as np
 
     joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
-    random, space, powers, inverse = _tables(len(joined) + 1)
-    blank = space[joined]
+    random, powers, inverse = _tables(len(joined) + 1)
+    blank = _STATE["plain" if plain else "space"][joined]
     edge = np.diff(np.concatenate((np.ones(1, bool), blank)).view(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     prefix = np.zeros(len(joined) + 1, np.uint64)
@@ -104,3 +106,33 @@ def text_batches(batches: Iterable, *columns: str, size: int = 2_000_000) -> Ite
                 stop += 1
             yield ([t or b"" for t in text.slice(start, stop - start).to_pylist()], *(c.slice(start, stop - start).to_pylist() for c in others))
             start = stop
+
+
+class HashArray:
+    """Positions of hashes in a sorted array, by the bucket of their leading bits."""
+
+    def __init__(self, keys):
+        import numpy as np
+
+        self.keys = np.append(keys, np.uint64(2**64 - 1))
+        bits = max(1, int(4 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        self.longest = int(np.diff(np.append(self.first, len(keys))).max())
+        self.size = len(keys)
+
+    def find(self, wanted):
+        """Index of each hash, -1 where it is absent."""
+        import numpy as np
+
+        at = self.first[(wanted >> self.shift).astype(np.int64)]
+        found = np.where((self.keys[at] == wanted) & (at < self.size), at, np.int32(-1))
+        left = np.flatnonzero(found < 0)
+        for _ in range(1, self.longest):
+            left = left[self.keys[at[left]] < wanted[left]]
+            if not len(left):
+                break
+            at[left] += 1
+            hit = left[(self.keys[at[left]] == wanted[left]) & (at[left] < self.size)]
+            found[hit] = at[hit]
+        return found
