@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import SPACES, lower_ascii, shuffle_partitions
+from candlewick.llm.common import SPACES, lower_ascii, shuffle_partitions, stored
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -59,6 +59,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     n = shuffle_partitions(docs.sparkSession)
     slices = 4 * n
     occ = occurrences(docs, min_chars).withColumn("slice", F.pmod(F.xxhash64("doc"), F.lit(slices)).cast("int"))
+    occ = stored(occ, "line_occurrences")  # the texts are read and cut once, not for each use
     occ = occ.repartitionByRange(n, "h1", "h2", "slice")
     stream = Window.partitionBy("h1", "h2", "slice").orderBy(F.col("doc").desc(), "pos")
     marked = occ.withColumn("first", F.coalesce(F.lag("doc").over(stream) != F.col("doc"), F.lit(True)))
