@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import decontamination as DC
+from candlewick.llm import embedding_dedup as ED
 from candlewick.llm import language_id as LI
 from candlewick.llm import line_dedup as LD
 from candlewick.llm import minhash_dedup as MH
@@ -80,3 +81,8 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_decontamination")
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DC.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op7_embedding_dedup")
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ED.near_embeddings(table(spark, sf_dir, "embeddings"))
