@@ -13,6 +13,7 @@ from candlewick.llm import language_id as LI
 from candlewick.llm import line_dedup as LD
 from candlewick.llm import minhash_dedup as MH
 from candlewick.llm import packing as PK
+from candlewick.llm import pii as PI
 from candlewick.llm import sql as S
 from candlewick.llm import token_files as TF
 from candlewick.llm import warc as WA
@@ -86,3 +87,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_embedding_dedup")
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ED.near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@register("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PI.pii_report(table(spark, sf_dir, "documents"))
