@@ -35,7 +35,7 @@ from candlewick.llm.tokens import rows_of
 ORDER = 4
 MAX_DOCS = 600
 CALIBRATE_EVERY = 5  # one document in so many is kept from the counts, for the calibration
-MARGIN = 2.0
+MARGIN = 3.0
 SHORT = 200  # characters under which the rejection band widens
 MAX_MODEL_BYTES = 1 << 30
 UND = "und"
@@ -270,10 +270,12 @@ def training_sample(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     """(lang, text) of at most ``max_docs`` labelled documents of each language, the lowest in a hash order."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.select("lang", "text", F.xxhash64(F.lit(17), F.col("doc_id").cast("string")).alias("h"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    # A first cut by share, so that the ranking sees a bounded number of rows of each language.
-    share = F.pmod(F.col("h"), F.lit(1_000_000)) / 1_000_000 < 2.0 * max_docs / F.col("n")
-    near = rows.join(counts, "lang").where(share | (F.col("n") <= 2 * max_docs))
+    counts = rows.groupBy("lang").count().collect()  # one row for each language
+    # A first cut by share where the rows are read, so that a bounded number of each language's rows is shuffled.
+    share = F.lit(0.0)
+    for r in counts:
+        share = F.when(F.col("lang") == r["lang"], min(1.0, 2.0 * max_docs / r["count"])).otherwise(share)
+    near = rows.where(F.pmod(F.col("h"), F.lit(1_000_000)) < share * 1_000_000)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     return near.withColumn("rank", rank).where(F.col("rank") <= max_docs).select("lang", "text", "rank")
 

@@ -15,6 +15,7 @@ from candlewick.llm import minhash_dedup as MH
 from candlewick.llm import packing as PK
 from candlewick.llm import pii as PI
 from candlewick.llm import sql as S
+from candlewick.llm import substring_dedup as SD
 from candlewick.llm import token_files as TF
 from candlewick.llm import warc as WA
 from candlewick.llm.common import prepare, table
@@ -92,3 +93,8 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_pii")
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PI.pii_report(table(spark, sf_dir, "documents"))
+
+
+@register("op4_substring_dedup")
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SD.repeated_passages(table(spark, sf_dir, "documents"))
