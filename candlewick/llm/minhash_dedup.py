@@ -12,11 +12,11 @@ confirmed on the full shingle sets.
 
 Skew: documents with equal sets are one class from the start.  In a bucket each
 member is compared with the bucket's smallest one first.  Buckets whose members
-then lie in one component need no more; in the others every pair of members
-from different components is compared, by joining the members outside the
-leader's component with the rest.  So a large group of copies costs a number of
-pairs in proportion to its size, and a link is only skipped when its ends are
-connected already.
+then lie in one component need no more; in the others the members outside the
+largest component are compared with all of other components, in blocks of
+bounded size inside the tasks.  So a large group of copies costs pairs in
+proportion to its size, pairs are never rows, and a link is only skipped when
+its ends are connected already.
 
 Edge cases: a text without words (null, empty, blank) has an empty set and links
 with nothing; one with fewer than five words is one shingle.  A null ``doc_id``
@@ -31,12 +31,14 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import stored
+from candlewick.llm.common import shuffle_partitions, stored
 from candlewick.llm.components import components
 from candlewick.llm.shingles import WORDS, mix, shingle_sets, text_batches
+from candlewick.llm.tokens import rows_of
 
 BANDS, ROWS = 32, 4
 PERCENT = 75
+BLOCK = 512
 SKETCH = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>"
 
 
@@ -130,37 +132,112 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, words: in
     return stored(rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+def across_components(members: DataFrame, roots: DataFrame, bands: DataFrame, docs: DataFrame, percent: int, words: int, block: int) -> DataFrame:
+    """Links (a, b) between members of one bucket that lie in different components.
+
+    Only the members outside a bucket's largest component are compared with the
+    others; a block holds up to ``block`` of them and as many others.
+    """
+    spark = docs.sparkSession
+    labelled = members.join(roots, F.col("id") == F.col("vertex"), "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    by_root = labelled.groupBy("key", "root").agg(F.count("*").alias("c"))
+    mains = by_root.groupBy("key").agg(F.max_by("root", "c").alias("main"), F.max("c").alias("most"), F.sum("c").alias("size"), F.count("*").alias("kinds"))
+    mains = mains.where(F.col("kinds") > 1).withColumn("outer", F.ceil((F.col("size") - F.col("most")) / block)).withColumn("inner", F.ceil(F.col("size") / block))
+    mixed = labelled.join(mains, "key").withColumn("out", F.col("root") != F.col("main"))
+    number = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), F.col(of) - 1))
+    here = mixed.select("key", "id", "root", "out", F.lit(0).alias("side"), number("outer").alias("o"), F.pmod(F.xxhash64("id"), F.col("inner")).alias("i"))
+    there = mixed.where("out").select("key", "id", "root", "out", F.lit(1).alias("side"), F.pmod(F.xxhash64("id"), F.col("outer")).alias("o"), number("inner").alias("i"))
+    places = stored(here.unionByName(there), "mixed_buckets")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(places.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    rows = places.join(texts.join(bands.select(F.col("doc_id").alias("id"), "bands"), "id"), "id")
+    rows = rows.repartition(shuffle_partitions(spark), "key", "o", "i").sortWithinPartitions("key", "o", "i", "side", "id")
+
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+
+        found: list[tuple[int, int]] = []
+        held, at = [], None
+
+        def batch_of():
+            a, b = zip(*found, strict=True) if found else ((), ())
+            made = pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            found.clear()
+            return made
+
+        for key, o, i, *row in rows_of(batches, "key", "o", "i", "side", "id", "root", "out", "bands", "text"):
+            if (key, o, i) != at:
+                if held:
+                    found.extend(links_of_block(held, at[0], percent, words))
+                held, at = [], (key, o, i)
+            held.append(row)
+        if held:
+            found.extend(links_of_block(held, at[0], percent, words))
+        yield batch_of()
+
+    return stored(rows.select("key", "o", "i", "side", "id", "root", "out", "bands", "text").mapInArrow(run, "a long, b long").distinct(), "links")
+
+
+def links_of_block(rows: list, key: int, percent: int, words: int) -> list[tuple[int, int]]:
+    """Links that connect different components, between the rows of side 1 and those of side 0; pairs that share an earlier band are left to it."""
+    import numpy as np
+
+    here = [r for r in rows if r[0] == 0]
+    ids, bands = np.array([r[1] for r in here], np.int64), np.array([r[4] for r in here], np.int64)
+    out = np.array([r[3] for r in here], bool)
+    sets = list(shingle_sets([(r[5] or "").encode() for r in here], words))
+    sizes = np.array([len(s) for s in sets], np.int64)
+    every, start = np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.cumsum(sizes) - sizes
+    label = {r[2]: r[2] for r in rows}
+
+    def find(x):
+        while label[x] != x:
+            label[x] = x = label[label[x]]
+        return x
+
+    found = []
+    for side, own, root, _, keys, text in rows:
+        if not side or not here:
+            continue
+        mine = next(shingle_sets([(text or "").encode()], words))
+        n = len(mine)
+        keys = np.array(keys, np.int64)
+        band = int(np.flatnonzero(keys == key)[0])
+        open_ = (ids != own) & ~(out & (ids < own)) & (100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes))
+        open_ &= ~(bands[:, :band] == keys[:band]).any(axis=1)
+        now = find(root)
+        open_ &= np.array([find(r[2]) != now for r in here], bool)
+        near = np.flatnonzero(open_)
+        if not len(near):
+            continue
+        items = every if len(near) == len(here) else np.concatenate([sets[k] for k in near])
+        first = start if len(near) == len(here) else np.cumsum(sizes[near]) - sizes[near]
+        place = np.minimum(np.searchsorted(mine, items), n - 1)
+        shared = np.add.reduceat((mine[place] == items).astype(np.int64), first)
+        for k in near[100 * shared >= percent * (n + sizes[near] - shared)]:
+            if find(here[k][2]) != find(root):
+                label[find(here[k][2])] = find(root)
+                found.append((own, int(ids[k])))
+    return found
+
+
+def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, words: int = WORDS, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id, kept) for every row of ``docs`` (doc_id, text)."""
     sketch = sketch_documents(docs, bands, rows, words)
     able = sketch.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = able.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("class_id"))
     classes = stored(classes, "minhash_classes")
     # One sketch for each class: that of its smallest document.
-    leaders = able.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", "s1", "s2", "n_shingles"]).dropDuplicates(["s1", "s2", "n_shingles"])
+    leaders = able.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", "s1", "s2", "n_shingles"]).dropDuplicates(["doc_id"])
     members = leaders.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("top"))
     members = members.join(sizes.where(F.col("size") > 1).drop("size"), "key")
     members = stored(members, "minhash_buckets")
 
-    def close(a: str, b: str):
-        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
     tops = leaders.select(F.col("doc_id").alias("top"), F.col("n_shingles").alias("n_top"))
-    first = members.where(F.col("id") != F.col("top")).select("top", "id", "n").distinct().join(tops, "top").where(close("n", "n_top"))
-    first = stored(first.select(F.col("top").alias("a"), F.col("id").alias("b")), "pairs")
-    links = confirm(first, docs, percent, words)
-    roots = components(links)
-
-    # Buckets that still hold several components: compare across them.
-    labelled = members.join(roots, F.col("id") == F.col("vertex"), "left").select("key", "id", "n", "top", F.coalesce("root", "id").alias("root"))
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high")).select("key")
-    labelled = stored(labelled.join(mixed, "key"), "mixed_buckets")
-    own = labelled.where(F.col("id") == F.col("top")).select("key", F.col("root").alias("main"))
-    outside = labelled.join(own, "key").where(F.col("root") != F.col("main")).select("key", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"))
-    across = outside.join(labelled.where(F.col("id") != F.col("top")), "key").where((F.col("rx") != F.col("root")) & close("nx", "n"))
-    second = across.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = confirm(stored(second, "pairs"), docs, percent, words)
+    close = 100 * F.least("n", "n_top") >= percent * F.greatest("n", "n_top")
+    pairs = members.where(F.col("id") != F.col("top")).select("top", "id", "n").distinct().join(tops, "top").where(close)
+    links = confirm(stored(pairs.select(F.col("top").alias("a"), F.col("id").alias("b")), "pairs"), docs, percent, words)
+    more = across_components(members, components(links), leaders, docs, percent, words, block)
     roots = components(links.unionByName(more))
 
     named = sketch.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2", "n_shingles"], "left")
