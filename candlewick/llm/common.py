@@ -23,6 +23,8 @@ _SHIPPED: set[str] = set()
 def prepare(spark: SparkSession) -> None:
     """Session settings, and the package for the Python workers of executors that lack it."""
     configure(spark)
+    # Rows of whole texts: batches for Python are bounded by their bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

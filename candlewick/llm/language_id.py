@@ -178,27 +178,42 @@ class Model:
         return out
 
     def cross_entropies(self, texts: list[str]):
-        """(texts x languages) cross-entropies per character, and the characters counted."""
+        """(texts x languages) cross-entropies per character, and the characters counted.
+
+        Texts are taken together, and a very long one in parts, so that about ``size``
+        characters are held as arrays at once.
+        """
         import numpy as np
 
-        stream, start, end = symbols(texts)
-        count = end - start
-        sums = np.zeros((len(texts), len(self.languages)))
-        # Pieces of the stream: a very long text is scored whole, a part at a time.
-        step = max(20_000, 2_000_000 // len(self.languages))
-        for a in range(0, len(stream), step):
-            first, last = np.searchsorted(end, a, "right"), np.searchsorted(start, min(a + step, len(stream)))
-            s, e = np.maximum(start[first:last], a), np.minimum(end[first:last], a + step)
-            size = np.maximum(e - s, 0)
-            rows = np.repeat(np.arange(first, last), size)
-            at = np.arange(len(rows)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(s, size)
-            if not len(at):
-                continue
-            lp = self.log_probabilities(stream, at)
-            head = np.flatnonzero(np.diff(rows, prepend=-1))
-            sums[rows[head]] += np.add.reduceat(lp, head, axis=0, dtype=np.float64)
+        size = min(400_000, max(20_000, 2_000_000 // len(self.languages)))
+        sums, count = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
+        parts, owners, held = [], [], 0
+        for k, text in enumerate(texts):
+            for start in range(0, len(text), size):
+                parts.append(text[start : start + size])
+                owners.append(k)
+                held += len(parts[-1])
+                if held >= size:
+                    self._add(parts, owners, sums, count)
+                    parts, owners, held = [], [], 0
+        self._add(parts, owners, sums, count)
         return -sums / np.maximum(count, 1)[:, None], count
 
+    def _add(self, parts: list[str], owners: list[int], sums, count) -> None:
+        import numpy as np
+
+        if not parts:
+            return
+        stream, start, end = symbols(parts)
+        size = end - start
+        if not size.any():
+            return
+        rows = np.repeat(np.arange(len(parts)), size)
+        at = np.arange(len(rows)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+        head = np.flatnonzero(np.diff(rows, prepend=-1))
+        np.add.at(sums, np.array(owners)[rows[head]], np.add.reduceat(self.log_probabilities(stream, at), head, axis=0, dtype=np.float64))
+        np.add.at(count, owners, size)
+
     def predict(self, texts: list[str]) -> list[tuple]:
         """(language, score, cross-entropy, rejected) of each text."""
         import numpy as np
@@ -403,8 +418,8 @@ def language_stage(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
 
         ready = model.prepared() if model else None
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
                 texts = part.column(part.schema.get_field_index("text")).to_pylist()
                 found = ready.predict([t or "" for t in texts]) if ready else [(UND, 0.0, None, True)] * len(texts)
                 yield part.filter(pa.array([not f[3] for f in found]))
