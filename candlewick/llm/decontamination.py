@@ -208,7 +208,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_BYTES) ->
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
     """The documents that hold no benchmark item, with their columns unchanged."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    schema = docs.schema
 
     def without(block: list[tuple]):
         def run(batches) -> Iterator:

@@ -408,10 +408,7 @@ def predictor(model: Model | None, carried: tuple[str, ...]):
 
 def language_stage(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     """The documents whose language is found, with their columns unchanged."""
-    names = docs.columns
-    rows = docs.withColumn("text", F.col("text"))
     model = fit(docs, max_docs)
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def keep(batches) -> Iterator:
         import pyarrow as pa
@@ -424,4 +421,4 @@ def language_stage(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
                 found = ready.predict([t or "" for t in texts]) if ready else [(UND, 0.0, None, True)] * len(texts)
                 yield part.filter(pa.array([not f[3] for f in found]))
 
-    return rows.select(*names).mapInArrow(keep, out)
+    return docs.mapInArrow(keep, docs.schema)

@@ -29,7 +29,7 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 NO_ID = -(2**63)
 # Columns that the operator adds while it works; the tables' own names can't clash with them.
-_DOC, _HASH, _WORDS, _LINES = "__ld_doc", "__ld_text_hash", "__ld_words", "__ld_lines"
+_DOC, _HASH, _WORDS, _LINES, _TEXT, _GONE = (f"__ld_{c}" for c in ("doc", "text_hash", "words", "lines", "text", "gone"))
 
 
 def lines_of(text: Column) -> Column:
@@ -74,8 +74,8 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     return words.groupBy("doc", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("words"))
 
 
-def with_kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` plus n_lines, n_dropped and kept_text."""
+def _kept(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """``docs`` plus the lines, the kept text and the number of dropped lines."""
     gone = dropped_lines(docs, min_chars, min_docs)
     gone = gone.select(F.col("doc").alias(_DOC), F.col("text_hash").alias(_HASH), F.col("words").alias(_WORDS))
     left = docs.withColumns({_DOC: F.coalesce(F.col("doc_id"), F.lit(NO_ID)), _HASH: F.xxhash64("text")})
@@ -90,14 +90,18 @@ def with_kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
         return F.coalesce(F.getbit(bits, (i % 64).cast("int")), F.lit(0)) == 0
 
     kept = F.filter(F.col(_LINES), stays)
-    rows = rows.withColumns(
+    return rows.withColumns(
         {
-            "n_lines": F.size(_LINES).cast("long"),
-            "kept_text": F.when(F.col(_WORDS).isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(F.array_join(kept, "\n")),
-            "n_dropped": F.coalesce(F.aggregate(F.col(_WORDS), F.lit(0).cast("long"), lambda a, w: a + F.bit_count(w)), F.lit(0).cast("long")),
+            _TEXT: F.when(F.col(_WORDS).isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(F.array_join(kept, "\n")),
+            _GONE: F.coalesce(F.aggregate(F.col(_WORDS), F.lit(0).cast("long"), lambda a, w: a + F.bit_count(w)), F.lit(0).cast("long")),
         }
     )
-    return rows.drop(_DOC, _HASH, _WORDS, _LINES)
+
+
+def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(doc_id, n_lines, n_dropped, kept_text) for every row."""
+    rows = _kept(docs.select("doc_id", "text"), min_chars, min_docs)
+    return rows.select("doc_id", F.size(_LINES).cast("long").alias("n_lines"), F.col(_GONE).alias("n_dropped"), F.col(_TEXT).alias("kept_text"))
 
 
 def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -105,10 +109,9 @@ def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
 
     A text that loses no line stays as it is, null included.
     """
-    rows = with_kept_lines(docs, min_chars, min_docs)
-    text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
+    rows = _kept(docs, min_chars, min_docs)
+    new = {"text": F.when(F.col(_GONE) > 0, F.col(_TEXT)).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        rows = rows.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+        length = F.length(_TEXT).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col(_GONE) > 0, length).otherwise(F.col("n_chars"))
+    return rows.withColumns(new).select(*docs.columns)

@@ -40,7 +40,7 @@ def register(name: str, oracle: str | None = None):
 
 @register("op3_line_dedup", S.OP3)
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = LD.with_kept_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = LD.kept_lines(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
