@@ -377,11 +377,14 @@ def time_bars(
     start=None,
     end=None,
     chunk_bars: int = GRID_CHUNK_BARS,
+    seed: DataFrame | None = None,
 ) -> DataFrame:
     """BAR-15 (both bounds: dense grid, as-of filled) / BAR-16 (otherwise: sparse).
 
     ``raw`` maps 'trades', 'book', 'open_interest', 'funding', 'liquidations'
     to raw frames.  Every source is filtered to [start, end) before bucketing.
+    ``seed`` (exchange, symbol, close) holds closes from before the grid: such a
+    symbol has bars from ``start`` on, with or without a trade in the range.
     """
     schemas.validate_interval(interval_sec)
     t = trade_bars(raw["trades"], interval_sec, start, end)
@@ -392,10 +395,16 @@ def time_bars(
     if not (start and end):
         return _assemble(t, b, oi, f, lq, grid_mode=False, interval_sec=interval_sec)
 
-    symbols = _in_range(raw["trades"], "timestamp", start, end).select("exchange", "symbol").distinct()
+    symbols = _in_range(raw["trades"], "timestamp", start, end).select("exchange", "symbol")
+    if seed is not None:
+        symbols = symbols.unionByName(seed.select("exchange", "symbol"))
+    symbols = symbols.distinct()
     grid = time_grid(symbols, start, end, interval_sec, chunk_bars)
     g = grid.join(t, KEYS3, "left")
     g = forward_fill(g, "close", "prev_close", ["exchange", "symbol"], "_chunk", "bar_time")
+    if seed is not None:
+        before = seed.select("exchange", "symbol", F.col("close").alias("_seed"))
+        g = g.join(before, ["exchange", "symbol"], "left").withColumn("prev_close", F.coalesce("prev_close", "_seed")).drop("_seed")
     # BAR-14: the as-of close includes the bar itself; drop bars before the first trade
     g = g.filter((F.coalesce(F.col("trade_count"), F.lit(0).cast("long")) > 0) | F.col("prev_close").isNotNull()).drop("_chunk")
     return _assemble(g, b, oi, f, lq, grid_mode=True, interval_sec=interval_sec)

@@ -1,9 +1,10 @@
 """DED-1: newest version per key (read-time replacement of versioned rows).
 
 Layers are appended, never updated in place: a re-run writes the same keys
-again with a higher ``_version``.  Readers call :func:`latest_version`; it is a
-single hash aggregation (partial aggregation keeps a key with many versions
-cheap) rather than a sort-based ``row_number``.
+again with a higher ``_version``.  The newest version of each key is a hash
+aggregation over the key columns and one number (partial aggregation keeps a
+key with many versions cheap); the rows are then joined to it, so the wide
+rows are never sorted by version.
 """
 
 from __future__ import annotations
@@ -12,16 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_version(df: DataFrame, keys: list[str], version: str = "_version", tiebreak: str | None = "_run_id") -> DataFrame:
-    """Keep, for every ``keys`` tuple, the row with the greatest (version, tiebreak)."""
-    order_cols = [version] + ([tiebreak] if tiebreak and tiebreak in df.columns else [])
-    payload = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct(*[F.col(c) for c in order_cols])).alias("_row")
-    )
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload]).select(*df.columns)
+def latest_version(df: DataFrame, keys: list[str], version: str = "_version") -> DataFrame:
+    """Keep the rows with the greatest ``version`` of their key.
+
+    A run writes a key once, and ``new_version`` differs between runs, so a key
+    and version name one row.
+    """
+    newest = df.groupBy(*keys).agg(F.max(version).alias("_newest"))
+    newest = newest.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_newest")
+    same = [F.col(k) == F.col(f"_key_{k}") for k in keys] + [F.col(version) == F.col("_newest")]
+    condition = same[0]
+    for c in same[1:]:
+        condition = condition & c
+    return df.join(newest, condition, "left_semi")
 
 
 def latest_symbols(symbols: DataFrame) -> DataFrame:
     """``meta.symbols`` reference rows: newest ``updated_at`` per (exchange, symbol)."""
-    return latest_version(symbols, ["exchange", "symbol"], version="updated_at", tiebreak=None)
+    return latest_version(symbols, ["exchange", "symbol"], version="updated_at")

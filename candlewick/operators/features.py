@@ -30,7 +30,8 @@ LOOKBACK_BARS = 61
 FRAC_DIFF_ORDERS = (0.4, 0.6)
 FRAC_DIFF_LAGS = 5
 WEIGHT_DECIMALS = 10
-CORR_FLOOR = 1e-18
+# A frame whose deviation is below this share of its largest value is constant up to rounding.
+ROUNDING = 1e-13
 
 
 def frac_diff_weights(d: float) -> list[float]:
@@ -131,17 +132,16 @@ def feature_columns(df: DataFrame, layout: windows.SeriesLayout) -> DataFrame:
         return _rolling_null(F.count("volume").over(fr), 1, ratio(F.sum("_adv").over(fr), F.sum("volume").over(fr)))
 
     def autocorr(n: int) -> Column:
-        # Pearson correlation from frame sums (cheaper per row than three
-        # central-moment aggregates); the zero-variance floor is applied to
-        # sd_x * sd_y = sqrt(Sxx * Syy) / (k - 1), as for covar / (sd * sd).
+        # Central moments (stable); a series that doesn't vary has none.  "Doesn't vary" is
+        # judged against the rounding of its own values, not against a fixed size.
         fr = past(n)
-        k = F.count("_ax").over(fr)
-        sx, sy = F.sum("_ax").over(fr), F.sum("_ay").over(fr)
-        sxx = F.sum(F.col("_ax") * F.col("_ax")).over(fr) - sx * sx / k
-        syy = F.sum(F.col("_ay") * F.col("_ay")).over(fr) - sy * sy / k
-        sxy = F.sum(F.col("_ax") * F.col("_ay")).over(fr) - sx * sy / k
-        root = F.sqrt(F.greatest(sxx, F.lit(0.0)) * F.greatest(syy, F.lit(0.0)))
-        return F.when((k >= 2) & (root / (k - 1) > F.lit(CORR_FLOOR)), sxy / root)
+        x, y = F.stddev_samp("_ax").over(fr), F.stddev_samp("_ay").over(fr)
+
+        def varies(c: str, sd: Column) -> Column:
+            return sd > F.max(F.abs(F.col(c))).over(fr) * F.lit(ROUNDING)
+
+        r = F.covar_samp("_ax", "_ay").over(fr) / (x * y)
+        return F.when((F.count("_ax").over(fr) >= 2) & varies("_ax", x) & varies("_ay", y), r)
 
     f20 = past(20)
     s4 = s3.select(
@@ -182,11 +182,11 @@ def time_bar_features(
     has its full history, then filters the output back to [start, end).
     """
     b = bars.filter(F.col("bar_interval_sec") == int(interval_sec))
-    if "_version" in b.columns:
-        b = latest_version(b, schemas.KEY_COLUMNS)
     base = time_range("bar_time", lookback_start(start, interval_sec), end)
     if base is not None:
         b = b.filter(base)
+    if "_version" in b.columns:
+        b = latest_version(b, schemas.KEY_COLUMNS)
     framed, layout = windows.series_frame(b, schemas.SERIES_KEYS, chunk_rows, back=LOOKBACK_BARS, fwd=0)
     out = windows.own_rows(feature_columns(framed, layout), layout)
     target = time_range("bar_time", start, end)

@@ -135,6 +135,12 @@ def repair_events(state: DataFrame, max_age_minutes: int = STALE_MINUTES, layer:
     )
 
 
+def repair_stale_runs(spark, store: Store, max_age_minutes: int = STALE_MINUTES, layer: str | None = None, now=None) -> int:
+    """RUN-3 on a store: append the correction events; returns how many runs were stale."""
+    state = run_state(read_layer(spark, store, LEDGER))
+    return write_layer(repair_events(state, max_age_minutes, layer, now), store, LEDGER)
+
+
 def repaired_state(state: DataFrame, max_age_minutes: int = STALE_MINUTES, layer: str | None = None, now=None) -> DataFrame:
     """Ledger state after applying the repair events."""
     events = state.select(*[f.name for f in schemas.PIPELINE_RUN_EVENTS.fields])

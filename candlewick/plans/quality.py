@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from candlewick import schemas
 from candlewick.functions.exprs import bucket_start, time_range
 from candlewick.operators.dedupe import latest_version
-from candlewick.operators.rollup import source_minutes, validate_rollup_interval
+from candlewick.operators.rollup import source_minutes
 
 KEYS3 = ["exchange", "symbol", "bar_time"]
 
@@ -37,12 +37,11 @@ def trade_count_reconciliation(trades: DataFrame, bars: DataFrame, start=None, e
         .groupBy("exchange", "symbol", bucket_start(F.col("timestamp"), 60).alias("bar_time"))
         .agg(F.count(F.lit(1)).alias("raw_trade_count"))
     )
-    b = bars.filter(F.col("bar_interval_sec") == 60)
+    b = _filters(bars.filter(F.col("bar_interval_sec") == 60), "bar_time", start, end, exchange, symbol)
     if "_version" in b.columns:
         b = latest_version(b, schemas.KEY_COLUMNS)
     counted = (
-        _filters(b, "bar_time", start, end, exchange, symbol)
-        .groupBy(*KEYS3)
+        b.groupBy(*KEYS3)
         .agg(F.sum("trade_count").alias("bar_trade_count"))
     )
     j = raw.join(counted, KEYS3, "full_outer")
@@ -57,8 +56,7 @@ def trade_count_reconciliation(trades: DataFrame, bars: DataFrame, start=None, e
 
 def rollup_gaps(bars: DataFrame, interval_sec: int, start=None, end=None, exchange=None, symbol=None) -> DataFrame:
     """QC-2: rollup buckets whose 60 s source count is not interval/60."""
-    validate_rollup_interval(interval_sec)
-    multiple = interval_sec // 60
+    multiple = schemas.validate_interval(interval_sec, rolled_up=True) // schemas.BASE_INTERVAL
     src = source_minutes(bars, start, end, exchange, symbol)
     return (
         src.groupBy("exchange", "symbol", bucket_start(F.col("bar_time"), interval_sec).alias("rollup_bar_time"))
@@ -70,10 +68,9 @@ def rollup_gaps(bars: DataFrame, interval_sec: int, start=None, end=None, exchan
 
 def feature_quality(features: DataFrame, interval_sec: int, start=None, end=None, exchange=None, symbol=None) -> DataFrame:
     """QC-3: NULL / non-finite / out-of-range counts over the feature layer."""
-    f = features.filter(F.col("bar_interval_sec") == int(interval_sec))
+    f = _filters(features.filter(F.col("bar_interval_sec") == int(interval_sec)), "bar_time", start, end, exchange, symbol)
     if "_version" in f.columns:
         f = latest_version(f, schemas.KEY_COLUMNS)
-    f = _filters(f, "bar_time", start, end, exchange, symbol)
 
     def bad(c: str, name: str):
         col = F.col(c)
@@ -100,10 +97,9 @@ def feature_quality(features: DataFrame, interval_sec: int, start=None, end=None
 
 def label_quality(labels: DataFrame, interval_sec: int, start=None, end=None, exchange=None, symbol=None) -> DataFrame:
     """QC-4: row count, invalid count, first / last invalid bar time (NULL if none)."""
-    lab = labels.filter(F.col("bar_interval_sec") == int(interval_sec))
+    lab = _filters(labels.filter(F.col("bar_interval_sec") == int(interval_sec)), "bar_time", start, end, exchange, symbol)
     if "_version" in lab.columns:
         lab = latest_version(lab, schemas.KEY_COLUMNS)
-    lab = _filters(lab, "bar_time", start, end, exchange, symbol)
     invalid = F.col("is_valid") == 0
     return lab.agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -114,14 +110,17 @@ def label_quality(labels: DataFrame, interval_sec: int, start=None, end=None, ex
 
 
 def dataset_row_count(ds: DataFrame, labels: DataFrame, interval_sec=None, start=None, end=None, exchange=None, symbol=None) -> DataFrame:
-    """QC-5: dataset rows with valid labels vs valid label rows, and the delta."""
-    lab = labels
-    if interval_sec is not None:
-        lab = lab.filter(F.col("bar_interval_sec") == int(interval_sec))
-    if "_version" in lab.columns:
-        lab = latest_version(lab, schemas.KEY_COLUMNS)
-    lab = _filters(lab, "bar_time", start, end, exchange, symbol).filter(F.col("is_valid") == 1)
-    tagged = ds.filter(F.col("label_is_valid") == 1).select(F.lit(1).alias("_d")).unionByName(lab.select(F.lit(0).alias("_d")))
+    """QC-5: dataset rows with valid labels vs valid label rows, and the delta; both sides under the same filters."""
+
+    def chosen(side: DataFrame, valid: str, mark: int) -> DataFrame:
+        if interval_sec is not None:
+            side = side.filter(F.col("bar_interval_sec") == int(interval_sec))
+        side = _filters(side, "bar_time", start, end, exchange, symbol)
+        if "_version" in side.columns:
+            side = latest_version(side, schemas.KEY_COLUMNS)
+        return side.filter(F.col(valid) == 1).select(F.lit(mark).alias("_d"))
+
+    tagged = chosen(ds, "label_is_valid", 1).unionByName(chosen(labels, "is_valid", 0))
     counts = tagged.agg(
         F.count_if(F.col("_d") == 1).alias("dataset_row_count"),
         F.count_if(F.col("_d") == 0).alias("valid_label_row_count"),

@@ -35,7 +35,7 @@ from candlewick.sources import fixtures
 from candlewick.streaming import bars as STR
 from oracle import sql as O
 
-SCALED = ("kyle_lambda_approx", "amihud_illiquidity")
+SCALED = ("kyle_lambda_approx", "amihud_illiquidity", "funding_rate")
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -421,28 +421,22 @@ def q_labels_incremental(spark, sf):
 
 # ----------------------------------------------------------------- dataset (DAT)
 
-W_READY = " AND ".join(f"isfinite(f.{c})" for c in ("realized_vol_20", "realized_vol_60", "volume_zscore_20", "oi_zscore_20"))
+_FINITE = ("realized_vol_20", "realized_vol_60", "volume_zscore_20", "oi_zscore_20")
 
 
 def _dataset_cte(feat: str = "feat", lab: str = "lab", bars: str = "roll", out: str = "ds") -> str:
-    fcols = ", ".join(f"f.{c}" for c in DS.FEATURE_COLUMNS)
-    lcols = ", ".join(f"l.{c}" for c in DS.LABEL_COLUMNS)
+    keys = ", ".join(schemas.KEY_COLUMNS)
+    held = {"has_trades": "trade_count > 0 AND volume > 0", "has_book": "has_book_data = 1", "is_time_bar_complete": "is_time_bar_complete = 1",
+            "has_open_interest": "has_open_interest_data = 1", "has_funding": "has_funding_data = 1"}
+    flags = ", ".join(f"CAST({test} AS INTEGER) AS sample_{name}" for name, test in held.items())
     return f"""
+{out}_sample AS (SELECT {keys}, {", ".join(DS.SAMPLE_CONTEXT_COLUMNS)}, {flags} FROM {bars}),
+{out}_feature AS (SELECT {keys}, {", ".join(DS.FEATURE_COLUMNS)},
+    CAST({" AND ".join(f"coalesce(isfinite({c}), false)" for c in _FINITE)} AS INTEGER) AS feature_window_ready FROM {feat}),
+{out}_label AS (SELECT {keys}, {", ".join(DS.LABEL_COLUMNS)}, is_valid AS label_is_valid FROM {lab}),
 {out} AS (
-    SELECT f.exchange, f.symbol, f.bar_interval_sec, f.bar_time,
-           s.volume, s.turnover, s.trade_count, s.ob_snapshot_count, {fcols}, {lcols},
-           l.is_valid AS label_is_valid,
-           CASE WHEN s.trade_count > 0 AND s.volume > 0 THEN 1 ELSE 0 END AS sample_has_trades,
-           CASE WHEN s.has_book_data = 1 THEN 1 ELSE 0 END AS sample_has_book,
-           CASE WHEN s.is_time_bar_complete = 1 THEN 1 ELSE 0 END AS sample_is_time_bar_complete,
-           CASE WHEN s.has_open_interest_data = 1 THEN 1 ELSE 0 END AS sample_has_open_interest,
-           CASE WHEN s.has_funding_data = 1 THEN 1 ELSE 0 END AS sample_has_funding,
-           CASE WHEN {W_READY} THEN 1 ELSE 0 END AS feature_window_ready,
-           CASE WHEN s.trade_count > 0 AND s.volume > 0 AND s.has_book_data = 1 AND s.is_time_bar_complete = 1
-                AND {W_READY} THEN 1 ELSE 0 END AS training_ready
-    FROM {feat} f
-    JOIN {lab} l ON f.exchange = l.exchange AND f.symbol = l.symbol AND f.bar_interval_sec = l.bar_interval_sec AND f.bar_time = l.bar_time
-    JOIN {bars} s ON f.exchange = s.exchange AND f.symbol = s.symbol AND f.bar_interval_sec = s.bar_interval_sec AND f.bar_time = s.bar_time
+    SELECT *, sample_has_trades * sample_has_book * sample_is_time_bar_complete * feature_window_ready AS training_ready
+    FROM {out}_sample JOIN {out}_feature USING ({keys}) JOIN {out}_label USING ({keys})
 )"""
 
 
@@ -515,7 +509,10 @@ def q_dataset_view(spark, sf):
 
 @register(
     "dataset_fused",
-    _sql(_grid_ctes(60), O.features_ctes(60), O.labels_ctes(60), _dataset_cte(bars="bars"), select="SELECT * FROM ds", columns=_ds_columns()),
+    _sql(
+        _grid_ctes(60).replace("\nbars AS (", "\nbars AS MATERIALIZED ("), O.features_ctes(60), O.labels_ctes(60), _dataset_cte(bars="bars"),
+        select="SELECT * FROM ds", columns=_ds_columns(),
+    ),
 )
 def q_dataset_fused(spark, sf):
     return _out(DS.dataset_fused(Ctx(spark, sf).grid(60), 60))
@@ -530,14 +527,12 @@ _QC1_END = O.shift(E, -86400)
     "qc_trade_reconcile",
     _sql(
         O.bars_ctes(60, S, _QC1_END),
-        f"""rc AS (SELECT exchange, symbol, {O.bucket('timestamp', 60)} AS bar_time, count(*) AS raw_trade_count FROM trades GROUP BY ALL),
-bc AS (SELECT exchange, symbol, bar_time, sum(trade_count) AS bar_trade_count FROM bars WHERE bar_interval_sec = 60 GROUP BY ALL)""",
-        select="""SELECT coalesce(r.exchange, b.exchange) AS exchange, coalesce(r.symbol, b.symbol) AS symbol,
-                  coalesce(r.bar_time, b.bar_time) AS bar_time, coalesce(raw_trade_count, 0) AS raw_trade_count,
-                  coalesce(bar_trade_count, 0) AS bar_trade_count,
-                  coalesce(raw_trade_count, 0) - coalesce(bar_trade_count, 0) AS trade_count_delta
-                  FROM rc r FULL OUTER JOIN bc b ON r.exchange = b.exchange AND r.symbol = b.symbol AND r.bar_time = b.bar_time
-                  WHERE coalesce(raw_trade_count, 0) <> coalesce(bar_trade_count, 0)""",
+        f"""counted AS (
+    SELECT exchange, symbol, {O.bucket('timestamp', 60)} AS bar_time, 1 AS in_raw, 0 AS in_bars FROM trades
+    UNION ALL SELECT exchange, symbol, bar_time, 0, trade_count FROM bars WHERE bar_interval_sec = 60)""",
+        select="""SELECT exchange, symbol, bar_time, sum(in_raw) AS raw_trade_count, sum(in_bars) AS bar_trade_count,
+                  sum(in_raw - in_bars) AS trade_count_delta
+                  FROM counted GROUP BY ALL HAVING sum(in_raw - in_bars) <> 0""",
         columns=[("exchange", "s"), ("symbol", "s"), ("bar_time", "t"), ("raw_trade_count", "l"), ("bar_trade_count", "l"), ("trade_count_delta", "l")],
     ),
 )
@@ -611,22 +606,46 @@ def q_qc_labels(spark, sf):
     return _out(QC.label_quality(time_bar_labels(c.grid(60), 60), 60))
 
 
+_R_QC = (O.shift(S, 5 * 86400), O.shift(S, 12 * 86400))
+_TWO_INTERVALS = (
+    _grid_ctes(60),
+    O.rollup_cte(900, out="r900"),
+    O.rollup_cte(3600, out="r3600"),
+    "roll AS (SELECT * FROM r900 UNION ALL SELECT * FROM r3600)",
+    O.features_ctes(900, src="roll", out="f900", p="fa"),
+    O.features_ctes(3600, src="roll", out="f3600", p="fb"),
+    "feat AS (SELECT * FROM f900 UNION ALL SELECT * FROM f3600)",
+    O.labels_ctes(900, src="roll", out="l900", p="la"),
+    O.labels_ctes(3600, src="roll", out="l3600", p="lb"),
+    "lab AS (SELECT * FROM l900 UNION ALL SELECT * FROM l3600)",
+    _dataset_cte(),
+)
+
+
+def _two_intervals(c: Ctx) -> tuple[DataFrame, DataFrame]:
+    g = c.grid(60)
+    bars = rollup_bars(g, 900).unionByName(rollup_bars(g, 3600))
+    labels = time_bar_labels(bars, 900).unionByName(time_bar_labels(bars, 3600))
+    features = time_bar_features(bars, 900).unionByName(time_bar_features(bars, 3600))
+    return DS.dataset(features, labels, bars), labels
+
+
 @register(
     "qc_dataset_rowcount",
     _sql(
-        *_DS_CTES_3600,
-        select="""SELECT d.n AS dataset_row_count, v.n AS valid_label_row_count, d.n - v.n AS row_count_delta
-                  FROM (SELECT count(*) AS n FROM ds WHERE label_is_valid = 1) d,
-                       (SELECT count(*) AS n FROM lab WHERE is_valid = 1) v""",
+        *_TWO_INTERVALS,
+        select=f"""SELECT count(*) FILTER (WHERE side = 1) AS dataset_row_count, count(*) FILTER (WHERE side = 0) AS valid_label_row_count,
+                  CAST(0 AS BIGINT) AS row_count_delta
+                  FROM (SELECT 1 AS side, {", ".join(schemas.KEY_COLUMNS)} FROM ds WHERE label_is_valid = 1
+                        UNION ALL SELECT 0, {", ".join(schemas.KEY_COLUMNS)} FROM lab WHERE is_valid = 1)
+                  WHERE bar_interval_sec = 900 AND symbol = 'view' AND {O.cond('bar_time', *_R_QC)}""",
         columns=[("dataset_row_count", "l"), ("valid_label_row_count", "l"), ("row_count_delta", "l")],
     ),
 )
 def q_qc_dataset_rowcount(spark, sf):
     c = Ctx(spark, sf)
-    h = rollup_bars(c.grid(60), 3600)
-    labs = time_bar_labels(h, 3600)
-    ds = DS.dataset(time_bar_features(h, 3600), labs, h)
-    return _out(QC.dataset_row_count(ds, labs, 3600))
+    ds, labels = _two_intervals(c)
+    return _out(QC.dataset_row_count(ds, labels, 900, c.offset(5), c.offset(12), symbol="view"))
 
 
 # ----------------------------------------------------------------- incremental + ledger (INC, RUN)
@@ -687,12 +706,9 @@ def q_incremental_window(spark, sf):
     c = Ctx(spark, sf)
     store = c.store("incwin")
     INC.backfill(spark, store, c.raw, [3600], c.start, _half(c), refresh_dataset=False)
-    marks = INC.stored_watermarks(spark, store)
-    rows = []
-    for interval, (s_max, f_max, l_max) in sorted(marks.items()):
-        s, e = INC.compute_interval_window(interval, s_max, f_max, l_max, end_override=c.end)
-        rows.append((interval, s, e))
-    return spark.createDataFrame(rows, "bar_interval_sec int, window_start string, window_end string")
+    windows = INC.run_windows(INC.stored_watermarks(spark, store), end=c.end)
+    text = lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(t)
+    return windows.select("bar_interval_sec", text("window_start"), text("window_end"))
 
 
 def _store_dataset(spark, store, interval: int) -> DataFrame:
@@ -709,6 +725,16 @@ def q_incremental_backfill(spark, sf):
     return _out(_store_dataset(spark, store, 3600))
 
 
+@register("incremental_bars_60", _sql(_grid_ctes(60), select="SELECT * FROM bars", columns=_cols(schemas.BARS)))
+def q_incremental_bars(spark, sf):
+    """INC-3 at 60 s: half the range, then one incremental run over the default overlap, equals the batch grid."""
+    c = Ctx(spark, sf)
+    store = c.store("incremental60")
+    INC.run_steps(spark, store, c.raw, INC.plan_range([60], c.start, _half(c), refresh_dataset=False))
+    INC.incremental_backfill(spark, store, c.raw, [60], end=c.end, refresh_dataset=False)
+    return _out(SNK.read_layer(spark, store, "sample.bars_time", interval_sec=60))
+
+
 @register("backfill", _sql(*_DS_CTES_3600, select="SELECT * FROM ds", columns=_ds_columns()))
 def q_backfill(spark, sf):
     c = Ctx(spark, sf)
@@ -717,34 +743,84 @@ def q_backfill(spark, sf):
     return _out(_store_dataset(spark, store, 3600))
 
 
-def _ledger_after_crash(c: Ctx) -> tuple[SNK.Store, DataFrame]:
-    """A backfill whose process dies after recording the start of its last two steps."""
-    store = c.store("ledger")
-    steps = INC.backfill_steps([3600], c.start, c.end, refresh_dataset=False)
-    INC.run_steps(c.spark, store, c.raw, steps[:-2])
-    for stage, interval, s, e in steps[-2:]:
-        LED.record_start(c.spark, store, stage, f"{stage}s_time_bar", interval, s, e)
-    return store, LED.run_state(SNK.read_layer(c.spark, store, LED.LEDGER))
+_JOBS = (("sample", "bars_time", 60, "bars"), ("sample", "bars_time", 3600, "roll"), ("feature", "features_time_bar", 3600, "feat"), ("label", "labels_time_bar", 3600, "lab"))
 
 
-@register("run_ledger")
+@register(
+    "run_ledger",
+    _sql(
+        *_DS_CTES_3600[:4],
+        select=" UNION ALL ".join(
+            f"SELECT '{layer}' AS layer, '{table}' AS table_name, {i} AS bar_interval_sec, 'done' AS status, count(*) AS row_count FROM {cte}"
+            for layer, table, i, cte in _JOBS
+        ),
+        columns=[("layer", "s"), ("table_name", "s"), ("bar_interval_sec", "i"), ("status", "s"), ("row_count", "l")],
+    ),
+)
 def q_run_ledger(spark, sf):
-    _, state = _ledger_after_crash(Ctx(spark, sf))
-    return state.select("layer", "table_name", "bar_interval_sec", "status", "row_count")
+    c = Ctx(spark, sf)
+    store = c.store("ledger")
+    INC.backfill(spark, store, c.raw, [3600], c.start, c.end, refresh_dataset=False)
+    state = LED.run_state(SNK.read_layer(spark, store, LED.LEDGER))
+    return _out(state.select("layer", "table_name", "bar_interval_sec", "status", "row_count"))
+
+
+def _event_ledger(c: Ctx) -> SNK.Store:
+    """A ledger with one run per event: started at the event, and finished a second later unless the id is a multiple of four."""
+    store = c.store("event_ledger")
+    started = F.col("ts").cast("timestamp")
+    start = c.events.select(
+        F.col("event_id").cast("string").alias("run_id"),
+        F.lit("sample").alias("layer"),
+        F.col("event_type").alias("table_name"),
+        F.lit(60).alias("bar_interval_sec"),
+        F.lit("running").alias("status"),
+        started.alias("started_at"),
+        started.alias("event_ts"),
+        F.col("event_id").alias("event_seq"),
+    )
+    later = F.col("event_ts") + F.expr("INTERVAL 1 SECOND")
+    end = start.filter(F.col("event_seq") % 4 != 0).withColumns({"status": F.lit("done"), "event_ts": later, "finished_at": later})
+    SNK.write_layer(start.unionByName(end, allowMissingColumns=True), store, LED.LEDGER)
+    return store
+
+
+# Runs are stale if they started before the last day began.
+_STALE_AT = O.shift(E, -86400)
 
 
-@register("stale_runs")
+@register(
+    "stale_runs",
+    O.present_sql(
+        f"""{O.with_(BOUNDS)} SELECT 'sample' AS layer, event_type AS table_name, 60 AS bar_interval_sec, count(*) AS stale_run_count, min(ts) AS oldest_started_at
+            FROM events WHERE event_id % 4 = 0 AND ts < {O.ts_lit(_STALE_AT)} GROUP BY event_type""",
+        [("layer", "s"), ("table_name", "s"), ("bar_interval_sec", "i"), ("stale_run_count", "l"), ("oldest_started_at", "t")],
+        SCALED,
+    ),
+)
 def q_stale_runs(spark, sf):
-    _, state = _ledger_after_crash(Ctx(spark, sf))
-    now = state.agg(F.max("started_at")).first()[0]
-    return LED.stale_runs(state, now=(now + timedelta(hours=1)).isoformat()) if now else state.limit(0)
+    c = Ctx(spark, sf)
+    state = LED.run_state(SNK.read_layer(spark, _event_ledger(c), LED.LEDGER))
+    return _out(LED.stale_runs(state, max_age_minutes=0, now=c.end_minus(1)))
 
 
-@register("repair_runs")
+@register(
+    "repair_runs",
+    O.present_sql(
+        f"""{O.with_(BOUNDS)} SELECT event_type AS table_name, count(*) AS runs,
+            CASE WHEN event_id % 4 <> 0 THEN 'done' WHEN ts < {O.ts_lit(_STALE_AT)} THEN 'failed' ELSE 'running' END AS status
+            FROM events GROUP BY ALL""",
+        [("table_name", "s"), ("status", "s"), ("runs", "l")],
+        SCALED,
+    ),
+)
 def q_repair_runs(spark, sf):
-    _, state = _ledger_after_crash(Ctx(spark, sf))
-    now = state.agg(F.max("started_at")).first()[0]
-    return LED.repaired_state(state, now=(now + timedelta(hours=1)).isoformat()).select("layer", "table_name", "bar_interval_sec", "status")
+    """RUN-3: the repair is appended; a second read of the ledger sees it."""
+    c = Ctx(spark, sf)
+    store = _event_ledger(c)
+    LED.repair_stale_runs(spark, store, max_age_minutes=0, now=c.end_minus(1))
+    state = LED.run_state(SNK.read_layer(spark, store, LED.LEDGER))
+    return _out(state.groupBy("table_name", "status").agg(F.count("*").alias("runs")))
 
 
 # ----------------------------------------------------------------- streaming (STR, SRC-6)
@@ -771,22 +847,43 @@ def q_stream_watermark(spark, sf):
     return _out(STR.stream_bars_to(spark, sf, shared_path(spark, "candlewick_stream"), 3600).select(*[n for n, _ in _TB_COLS]))
 
 
-@register("stream_ingest", _sql(select="SELECT * FROM trades", columns=_cols(schemas.RAW_TRADES)))
-def q_stream_ingest(spark, sf):
-    c = Ctx(spark, sf)
-    store = c.store("landing")
-    STR.land_stream(spark, sf, store)
-    return _out(SNK.read_layer(spark, store, "raw.trades"))
+_LANDED = {"trades": "trades", "book": "book", "liquidations": "liq", "funding": "funding", "open_interest": "oi"}
+
 
+def _register_landing(channel: str) -> None:
+    name = SNK.RAW_TABLES[channel]
 
-@register("stream_late_repair", _sql(O.trade_bars_ctes(60), select="SELECT * FROM tb", columns=_TB_COLS))
+    @register("stream_ingest" if channel == "trades" else f"stream_ingest_{channel}", _sql(select=f"SELECT * FROM {_LANDED[channel]}", columns=_cols(schemas.LAYERS[name][0])))
+    def q_landing(spark, sf):
+        c = Ctx(spark, sf)
+        store = c.store("landing")
+        STR.land_stream(spark, sf, store, [channel])
+        return _out(SNK.read_layer(spark, store, name))
+
+
+for _channel in _LANDED:
+    _register_landing(_channel)
+
+
+@register(
+    "stream_late_repair",
+    _sql(
+        _grid_ctes(60),
+        select=f"SELECT * FROM bars WHERE bar_time <= (SELECT max({O.bucket('timestamp', 60)}) FROM trades)",
+        columns=_cols(schemas.BARS),
+    ),
+)
 def q_stream_late_repair(spark, sf):
+    """STR-3: the bars of early rows, then late rows of all five channels; every column equals the batch grid."""
     c = Ctx(spark, sf)
     store = c.store("repair")
-    SNK.write_layer(c.raw["trades"], store, "raw.trades")
-    STR.stream_late_repair(spark, store, 60, max_files=1)
-    bars = SNK.read_layer(spark, store, "sample.bars_time")
-    return _out(bars.select(*[n for n, _ in _TB_COLS]))
+    SNK.bootstrap(spark, store)
+    late = F.pmod(F.xxhash64("symbol", "timestamp"), F.lit(10)) == 0
+    checkpoint = shared_path(spark, "candlewick_repair", unique=True)
+    for part in (~late, late):
+        SNK.land_raw({channel: rows.filter(part) for channel, rows in c.raw.items()}, store)
+        STR.stream_late_repair(spark, store, checkpoint)
+    return _out(SNK.read_layer(spark, store, "sample.bars_time"))
 
 
 # ----------------------------------------------------------------- sinks (SNK)
@@ -802,16 +899,29 @@ def q_write_layer(spark, sf):
     return _out(SNK.read_layer(spark, store, "sample.bars_time").drop("_version", "_run_id"))
 
 
-@register("export_csv")
+@register(
+    "export_csv",
+    _sql(*_DS_CTES_3600, select=f"SELECT {', '.join(DS.TRAIN_COLUMNS)} FROM ds WHERE training_ready = 1 AND label_is_valid = 1", columns=_ds_columns(DS.TRAIN_COLUMNS)),
+)
 def q_export_csv(spark, sf):
-    c = Ctx(spark, sf)
-    ds = DS.dataset_select(_dataset_3600(c), training_ready_only=True, label_valid_only=True, column_set="train")
+    ds = _dataset_3600(Ctx(spark, sf))
     path = shared_path(spark, "candlewick_export", unique=True)
     SNK.export_csv(ds, path)
-    return spark.read.option("header", True).csv(path)
+    return _out(spark.read.option("header", True).schema(ds.select(*DS.TRAIN_COLUMNS).schema).csv(path))
 
 
-@register("schema_bootstrap")
+@register(
+    "schema_bootstrap",
+    _sql(
+        select=" UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, {len(schema.fields)} AS column_count, "
+            + (f"(SELECT count(*) FROM {_LANDED[next(k for k, v in SNK.RAW_TABLES.items() if v == name)]})" if name in SNK.RAW_TABLES.values() else "CAST(0 AS BIGINT)")
+            + " AS row_count"
+            for name, (schema, _) in schemas.LAYERS.items()
+        ),
+        columns=[("table_name", "s"), ("column_count", "i"), ("row_count", "l")],
+    ),
+)
 def q_schema_bootstrap(spark, sf):
     """SNK-4: bootstrap every layer table, land the raw frames, report schema width and rows per table."""
     c = Ctx(spark, sf)
@@ -827,7 +937,7 @@ def q_schema_bootstrap(spark, sf):
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return _out(out)
 
 
 _RET_NOW = O.shift(E, 76 * 86400)

@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import time
 import uuid
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick import schemas
+from candlewick.functions.exprs import parse_utc, time_range
+from candlewick.operators.dataset import dataset_select
 from candlewick.operators.dedupe import latest_version
 
 LAYER_TABLES = {
@@ -30,6 +33,13 @@ LAYER_TABLES = {
     "dataset": [],
     "meta": ["symbols", "pipeline_runs"],
 }
+RAW_TABLES = {
+    "trades": "raw.trades",
+    "book": "raw.book_topk_raw",
+    "liquidations": "raw.liquidations",
+    "funding": "raw.funding",
+    "open_interest": "raw.open_interest",
+}
 # Fixed value: book snapshots are kept for 90 days.
 BOOK_RETENTION_DAYS = 90
 
@@ -81,8 +91,9 @@ def _read_schema(name: str) -> T.StructType:
     return T.StructType(list(schema.fields) + extra)
 
 
-def new_version() -> int:
-    return time.time_ns() // 1000
+def new_version(run_id: str = "") -> int:
+    """Microseconds, with ten bits of the run's id below them, so that concurrent runs differ."""
+    return time.time_ns() // 1000 << 10 | zlib.crc32(run_id.encode()) & 1023
 
 
 def write_layer(df: DataFrame, store: Store, name: str, run_id: str | None = None, version: int | None = None) -> int:
@@ -94,7 +105,7 @@ def write_layer(df: DataFrame, store: Store, name: str, run_id: str | None = Non
     schema, parts = schemas.LAYERS[name]
     versioned = any(f.name == "_version" for f in schema.fields)
     run_id = run_id or uuid.uuid4().hex
-    defaults = {"_version": F.lit(version or new_version()).cast("long"), "_run_id": F.lit(run_id)} if versioned else {}
+    defaults = {"_version": F.lit(version or new_version(run_id)).cast("long"), "_run_id": F.lit(run_id)} if versioned else {}
     out = _with_partitions(schemas.conform(df, schema, defaults=defaults), name)
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -111,45 +122,94 @@ def write_layer(df: DataFrame, store: Store, name: str, run_id: str | None = Non
     return int(obs.get.get("rows", 0))
 
 
-def read_layer(spark: SparkSession, store: Store, name: str, latest: bool = True) -> DataFrame:
-    """Read a layer table with its declared schema (+ partition columns); newest versions only."""
+def _partition_range(parts: list[str], start, end) -> list:
+    """Conditions on the layout columns that a time range implies."""
+    forms = {"dt": lambda t: t.date(), "ym": lambda t: t.strftime("%Y%m")}
+    out = []
+    for p in parts:
+        if p in forms and start:
+            out.append(F.col(p) >= F.lit(forms[p](parse_utc(start))))
+        if p in forms and end:
+            out.append(F.col(p) <= F.lit(forms[p](parse_utc(end))))
+    return out
+
+
+def read_layer(spark: SparkSession, store: Store, name: str, latest: bool = True, start=None, end=None, interval_sec: int | None = None) -> DataFrame:
+    """Read a layer table with its declared schema; newest versions only, without their version columns.
+
+    ``start`` / ``end`` (half-open, on the layer's time column) and ``interval_sec``
+    reach the scan: as partition filters on the layout columns and as pushed
+    filters on the time column.  With ``latest`` the rows are de-duplicated here
+    and nowhere else; ``latest=False`` gives all versions.
+    """
     schema, parts = schemas.LAYERS[name]
     # layer tables are appended by other jobs: never reuse a cached file listing
     spark.catalog.refreshByPath(store.path(name))
     # read with the declared schema (never inferred): files written before a column
     # was added read it as NULL and conform() fills the declared default
     df = spark.read.schema(_read_schema(name)).parquet(store.path(name))
-    # partition columns derived only for layout (dt, ym) are dropped; real columns stay
-    df = schemas.conform(df, schema)
-    if latest and any(f.name == "_version" for f in schema.fields):
-        df = latest_version(df, schemas.KEY_COLUMNS)
+    conditions = _partition_range(parts, start, end)
+    clock = time_range("bar_time" if "bar_time" in df.columns else "timestamp", start, end)
+    conditions += [clock] if clock is not None else []
+    conditions += [F.col("bar_interval_sec") == int(interval_sec)] if interval_sec is not None else []
+    for condition in conditions:
+        df = df.filter(condition)
+    # layout columns (dt, ym) are dropped; real columns stay
+    df = schemas.conform(df, schema, bare=schemas.ALWAYS_STORED)
+    if latest and "_version" in df.columns:
+        df = latest_version(df, schemas.KEY_COLUMNS).drop("_version", "_run_id")
     return df
 
 
+def newest_partitions(spark: SparkSession, store: Store, name: str) -> DataFrame:
+    """All versions of the rows in each interval's newest month partition (found from the partition values)."""
+    schema, _ = schemas.LAYERS[name]
+    spark.catalog.refreshByPath(store.path(name))
+    df = spark.read.schema(_read_schema(name)).parquet(store.path(name))
+    newest = df.groupBy("bar_interval_sec").agg(F.max("ym").alias("ym")).collect()  # a row for each interval
+    keep = F.lit(False)
+    for r in newest:
+        keep = keep | ((F.col("bar_interval_sec") == r["bar_interval_sec"]) & (F.col("ym") == r["ym"]))
+    return schemas.conform(df.filter(keep), schema, bare=schemas.ALWAYS_STORED)
+
+
 def compact_layer(spark: SparkSession, store: Store, name: str, interval_sec: int | None = None) -> None:
-    """Rewrite partitions with only their newest versions (dynamic partition overwrite).
+    """Replace the files that were there by files with their newest versions.
 
-    The deduplicated frame is first written to a staging table in the store
-    (cutting lineage to the files being replaced), then swapped in.
+    Appends the newest versions as new files, then deletes exactly the files that
+    the read saw.  Rows that another run appends meanwhile are in other files and
+    stay; a crash between the steps leaves rows twice, which reads and the next
+    compaction resolve, as both copies carry the same version.
     """
     schema, parts = schemas.LAYERS[name]
-    current = read_layer(spark, store, name, latest=True)
+    spark.catalog.refreshByPath(store.path(name))
+    stored = spark.read.schema(_read_schema(name)).parquet(store.path(name))
     if interval_sec is not None:
-        current = current.filter(F.col("bar_interval_sec") == int(interval_sec))
-    staging = f"{store.root.rstrip('/')}/_staging/{name.replace('.', '_')}_{uuid.uuid4().hex[:8]}"
-    _with_partitions(current, name).write.mode("overwrite").partitionBy(*parts).parquet(staging)
-    staged = spark.read.parquet(staging)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").partitionBy(*parts).parquet(store.path(name))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        stored = stored.filter(F.col("bar_interval_sec") == int(interval_sec))
+    old = [r[0] for r in stored.select(F.input_file_name()).distinct().collect()]  # file names only
+    if not old:
+        return
+    seen = spark.read.schema(_read_schema(name)).option("basePath", store.path(name)).parquet(*old)
+    newest = latest_version(seen, schemas.KEY_COLUMNS).dropDuplicates([*schemas.KEY_COLUMNS, "_version"])
+    newest.write.mode("append").partitionBy(*parts).parquet(store.path(name))
+    _delete_files(spark, old)
     spark.catalog.refreshByPath(store.path(name))
 
 
-def export_csv(ds: DataFrame, path: str) -> None:
-    """SNK-2: distributed CSV export with a header (written even for an empty result)."""
+def _delete_files(spark: SparkSession, paths: list[str]) -> None:
+    """Delete files through the Hadoop FileSystem of their paths.  Needs a classic session."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(p))
+        path.getFileSystem(conf).delete(path, False)
+
+
+def export_csv(ds: DataFrame, path: str, training_ready_only: bool = True, label_valid_only: bool = True, column_set: str = "train") -> None:
+    """SNK-2: distributed CSV export of dataset rows with a header (written even for an empty result).
+
+    By default only training-ready rows with valid labels, in the ``train`` columns.
+    """
+    ds = dataset_select(ds, training_ready_only, label_valid_only, column_set)
     ds.write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -189,22 +249,4 @@ def drop_expired_partitions(spark: SparkSession, store: Store, name: str = "raw.
 
 def land_raw(frames: dict[str, DataFrame], store: Store) -> dict[str, int]:
     """Append raw frames to the raw layer, partitioned by event day."""
-    names = {
-        "trades": "raw.trades",
-        "book": "raw.book_topk_raw",
-        "liquidations": "raw.liquidations",
-        "funding": "raw.funding",
-        "open_interest": "raw.open_interest",
-    }
-    return {k: write_layer(df, store, names[k]) for k, df in frames.items()}
-
-
-def read_raw(spark: SparkSession, store: Store) -> dict[str, DataFrame]:
-    names = {
-        "trades": "raw.trades",
-        "book": "raw.book_topk_raw",
-        "liquidations": "raw.liquidations",
-        "funding": "raw.funding",
-        "open_interest": "raw.open_interest",
-    }
-    return {k: read_layer(spark, store, v) for k, v in names.items()}
+    return {channel: write_layer(df, store, RAW_TABLES[channel]) for channel, df in frames.items()}

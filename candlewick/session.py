@@ -8,7 +8,6 @@ written layer tables, streaming sinks).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,38 +65,30 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_SCRATCH: dict[int, str] = {}
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
     On a cluster the operator names a shared folder in ``spark.checkpoint.dir``;
-    we read it and never override it.  Only an unset value (tests, local runs)
-    gets a fresh scratch folder.
+    we read it and never override it.  Where it is unset, a local session gets a
+    fresh scratch folder; on a cluster that is an error, as a machine's own folder
+    would lose rows.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    context = None
-    try:  # classic sessions only; a Spark Connect client has no SparkContext
-        context = spark.sparkContext
-    except Exception:
-        context = None
-    if not current and context is not None:
-        current = context.getCheckpointDir()
-    if not current:
-        current = _SCRATCH.get(id(spark))
+    context = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not current:
-        current = tempfile.mkdtemp(prefix="candlewick-ckpt-", dir=os.environ.get("CANDLEWICK_SCRATCH", "/tmp"))
-        _SCRATCH[id(spark)] = current
-        try:
-            spark.conf.set("spark.checkpoint.dir", current)
-        except Exception:  # a core setting some deployments refuse at runtime
-            pass
-    if context is not None and not context.getCheckpointDir():
+        if not one_machine(context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="candlewick-ckpt-")
+    if not context.getCheckpointDir():
         context.setCheckpointDir(current)
     return current
 
 
+def one_machine(master: str) -> bool:
+    """Whether the driver and all tasks share one machine's folders."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path under the shared checkpoint folder (for written layer tables and sinks)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

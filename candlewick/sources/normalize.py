@@ -77,9 +77,11 @@ def normalize_book(msgs: DataFrame, depth: int = DEFAULT_BOOK_DEPTH) -> DataFram
     if side_type is None:
         raise ValueError("book message needs a 'book' or 'delta' payload column")
 
+    # The payload of a message is its whole book, or else its whole delta.
+    payload = F.coalesce(*[F.col(p) for p in ("book", "delta") if p in payload_fields])
+
     def side(name: str) -> Column:
-        parts = [F.col(p)[name] for p in ("book", "delta") if p in payload_fields]
-        return F.coalesce(*parts) if len(parts) > 1 else parts[0]
+        return payload[name]
 
     empty = F.array().cast(T.ArrayType(T.StructType([T.StructField("px", T.DoubleType()), T.StructField("sz", T.DoubleType())])))
     bids = F.slice(F.sort_array(F.coalesce(_levels(side("bid"), side_type), empty), asc=False), 1, depth)

@@ -19,16 +19,21 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick import schemas
-from candlewick.functions.exprs import epoch_millis, ratio
-from candlewick.operators.bars import trade_bars
-from candlewick.plans.sinks import Store, new_version, write_layer
+from candlewick.functions.exprs import EPOCH, epoch_millis, ratio
+from candlewick.operators.bars import time_bars
+from candlewick.operators.labels import LOOKFORWARD_BARS
+from candlewick.plans.incremental import LAYERS, Step, last_closes, layer_frame
+from candlewick.plans.sinks import RAW_TABLES, Store, newest_partitions, read_layer, write_layer
 from candlewick.sources import fixtures
+from candlewick.sources.normalize import NORMALIZERS
 
 DEFAULT_SAFETY_LAG = "120 seconds"
 
@@ -52,68 +57,13 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None)
     return reader.parquet(sf_dir)
 
 
-def raw_trade_stream(spark: SparkSession, store: Store, max_files: int | None = None) -> DataFrame:
-    """Landed raw trades (one file per day partition) as a stream."""
-    reader = spark.readStream.schema(schemas.RAW_TRADES)
+def raw_stream(spark: SparkSession, store: Store, channel: str, max_files: int | None = None) -> DataFrame:
+    """The landed raw rows of a channel as a stream of their files."""
+    name = RAW_TABLES[channel]
+    reader = spark.readStream.schema(schemas.LAYERS[name][0])
     if max_files:
         reader = reader.option("maxFilesPerTrigger", int(max_files))
-    return reader.parquet(store.path("raw.trades"))
-
-
-def streaming_trade_bars(trades: DataFrame, interval_sec: int = 60, delay: str = DEFAULT_SAFETY_LAG) -> DataFrame:
-    """STR-1 / STR-2: watermark + tumbling window aggregation (append mode)."""
-    schemas.validate_interval(interval_sec)
-    buy = F.col("side") == "buy"
-    sell = F.col("side") == "sell"
-    root = F.sqrt("notional")
-    agg = (
-        trades.withWatermark("timestamp", delay)
-        .groupBy(F.window("timestamp", f"{int(interval_sec)} seconds"), "exchange", "symbol")
-        .agg(
-            F.min(F.struct("timestamp", "trade_id", "price")).alias("_o"),
-            F.max(F.struct("timestamp", "trade_id", "price")).alias("_c"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.sum("quantity").alias("volume"),
-            F.sum("notional").alias("turnover"),
-            F.count(F.lit(1)).alias("trade_count"),
-            F.coalesce(F.sum(F.when(buy, F.col("quantity"))), F.lit(0.0)).alias("buy_volume"),
-            F.coalesce(F.sum(F.when(sell, F.col("quantity"))), F.lit(0.0)).alias("sell_volume"),
-            F.coalesce(F.sum(F.when(buy, F.col("notional"))), F.lit(0.0)).alias("buy_turnover"),
-            F.coalesce(F.sum(F.when(sell, F.col("notional"))), F.lit(0.0)).alias("sell_turnover"),
-            F.coalesce(F.sum(F.when(buy, root)), F.lit(0.0)).alias("_bsq"),
-            F.coalesce(F.sum(F.when(sell, root)), F.lit(0.0)).alias("_ssq"),
-            F.min("timestamp").alias("_first"),
-            F.max("timestamp").alias("_last"),
-            F.collect_set(epoch_millis(F.col("timestamp"))).alias("_ms"),
-        )
-    )
-    ms = F.array_sort(F.col("_ms"))
-    k = F.size(ms) - 1
-    gap = F.coalesce(F.array_max(F.zip_with(F.slice(ms, 2, k), F.slice(ms, 1, k), lambda a, b: a - b)), F.lit(0).cast("long"))
-    return agg.select(
-        "exchange",
-        "symbol",
-        F.col("window.start").alias("bar_time"),
-        F.col("_o.price").alias("open"),
-        "high",
-        "low",
-        F.col("_c.price").alias("close"),
-        "volume",
-        "turnover",
-        "trade_count",
-        "buy_volume",
-        "sell_volume",
-        "buy_turnover",
-        "sell_turnover",
-        (F.col("_bsq") - F.col("_ssq")).alias("signed_sqrt_dollar_volume"),
-        ratio("turnover", "volume").alias("vwap"),
-        F.lit(0).cast("long").alias("large_trade_count"),
-        F.lit(0.0).alias("large_trade_volume"),
-        F.date_trunc("millisecond", "_first").alias("first_trade_ts"),
-        F.date_trunc("millisecond", "_last").alias("last_trade_ts"),
-        gap.alias("max_trade_gap_ms"),
-    )
+    return reader.parquet(store.path(name))
 
 
 def streaming_trade_bars_two_level(trades: DataFrame, interval_sec: int = 60, delay: str = DEFAULT_SAFETY_LAG) -> DataFrame:
@@ -229,40 +179,66 @@ def stream_bars_to(spark: SparkSession, sf_dir: str, root: str, interval_sec: in
     return spark.read.parquet(sink)
 
 
-def land_stream(spark: SparkSession, sf_dir: str, store: Store) -> dict[str, int]:
-    """SRC-6 / STR-4: continuous landing of the trade channel, partitioned by day."""
-    from candlewick.sources.normalize import normalize_trades
-
-    trades = normalize_trades(fixtures.trade_messages(event_stream(spark, sf_dir))).withColumn("dt", F.to_date("timestamp"))
-    chk = f"{store.root.rstrip('/')}/_chk/land_trades_{uuid.uuid4().hex[:10]}"
-    run_available_now(trades, store.path("raw.trades"), chk, partition_by=["dt"])
-    return {"trades": spark.read.parquet(store.path("raw.trades")).count()}
-
-
-def late_repair_sink(spark: SparkSession, store: Store, raw_trades_path: str, interval_sec: int = 60):
-    """STR-3: foreachBatch function recomputing every touched bar from the raw layer."""
-
-    def repair(batch: DataFrame, epoch_id: int) -> None:
-        touched = (
-            batch.select("exchange", "symbol", F.timestamp_seconds(F.floor(F.unix_seconds("timestamp") / interval_sec) * interval_sec).alias("bar_time"))
-            .distinct()
-        )
-        raw = spark.read.schema(schemas.RAW_TRADES).parquet(raw_trades_path)
-        raw = raw.withColumn("bar_time", F.timestamp_seconds(F.floor(F.unix_seconds("timestamp") / interval_sec) * interval_sec))
-        # only the trades of touched bars are re-read (semi join on the bar key)
-        affected = raw.join(touched, ["exchange", "symbol", "bar_time"], "left_semi").drop("bar_time")
-        bars = trade_bars(affected, interval_sec).withColumn("bar_interval_sec", F.lit(int(interval_sec)))
-        write_layer(bars, store, "sample.bars_time", run_id=f"stream-{epoch_id}", version=new_version())
-
-    return repair
-
-
-def stream_late_repair(spark: SparkSession, store: Store, interval_sec: int = 60, max_files: int = 1) -> None:
-    stream = raw_trade_stream(spark, store, max_files=max_files)
-    chk = f"{store.root.rstrip('/')}/_chk/late_repair_{uuid.uuid4().hex[:10]}"
+def land_stream(spark: SparkSession, sf_dir: str, store: Store, channels=tuple(RAW_TABLES)) -> None:
+    """SRC-6 / STR-4: continuous landing of the channels, partitioned by day."""
+    messages = {
+        "trades": fixtures.trade_messages,
+        "book": fixtures.book_messages,
+        "liquidations": fixtures.liquidation_messages,
+        "funding": fixtures.funding_messages,
+        "open_interest": fixtures.open_interest_messages,
+    }
+    for channel in channels:
+        rows = NORMALIZERS[channel](messages[channel](event_stream(spark, sf_dir))).withColumn("dt", F.to_date("timestamp"))
+        chk = f"{store.root.rstrip('/')}/_chk/land_{channel}_{uuid.uuid4().hex[:10]}"
+        run_available_now(rows, store.path(RAW_TABLES[channel]), chk, partition_by=["dt"])
+
+
+def repair_touched(spark: SparkSession, store: Store, rows: DataFrame, intervals=()) -> None:
+    """STR-3: rebuild what late rows (exchange, symbol, timestamp) touch, from all five raw channels.
+
+    The range goes from the day of the first touched bar to the newest bar that is
+    stored or touched, since a late trade changes the closes that later bars carry.
+    Only the touched symbols are rebuilt, and only the range's day partitions are
+    read.  Rollups of ``intervals``, and their features and labels with the bars
+    that look back or forward into the range, follow.
+    """
+    base = schemas.BASE_INTERVAL
+    ends = rows.agg(F.min("timestamp"), F.max("timestamp"), F.collect_set(F.struct("exchange", "symbol"))).first()  # at most all symbols
+    if ends[0] is None:
+        return
+    utc = lambda t: t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t
+    start = utc(ends[0]).replace(hour=0, minute=0, second=0, microsecond=0)
+    stored = newest_partitions(spark, store, "sample.bars_time").filter(F.col("bar_interval_sec") == base).agg(F.max("bar_time")).first()[0]
+    newest = max(utc(t) for t in (ends[1], stored) if t is not None)
+    seconds = int((newest - EPOCH).total_seconds()) // base * base + base
+    end = EPOCH + timedelta(seconds=seconds)
+
+    def touched(frame: DataFrame) -> DataFrame:
+        keep = F.lit(False)
+        for r in ends[2]:
+            keep = keep | ((F.col("exchange") == r["exchange"]) & (F.col("symbol") == r["symbol"]))
+        return frame.filter(keep)
+
+    raw = {c: touched(read_layer(spark, store, name, start=start, end=end)) for c, name in RAW_TABLES.items()}
+    bars = time_bars(raw, base, start, end, seed=touched(last_closes(spark, store, start)))
+    write_layer(bars, store, "sample.bars_time")
+    for i in sorted(set(intervals) - {base}):
+        first = EPOCH + timedelta(seconds=int((start - EPOCH).total_seconds()) // i * i)
+        write_layer(touched(layer_frame(spark, store, raw, Step("sample", i, first, end))), store, "sample.bars_time")
+    for i in sorted(set(intervals)):
+        before = start - timedelta(seconds=LOOKFORWARD_BARS * i)
+        for layer in ("feature", "label"):
+            write_layer(touched(layer_frame(spark, store, raw, Step(layer, i, before, end))), store, LAYERS[layer])
+
+
+def stream_late_repair(spark: SparkSession, store: Store, checkpoint: str, intervals=(), max_files: int | None = None) -> None:
+    """Process the raw files of all channels that landed since the checkpoint."""
+    streams = [raw_stream(spark, store, channel, max_files).select("exchange", "symbol", "timestamp") for channel in RAW_TABLES]
     query = (
-        stream.writeStream.foreachBatch(late_repair_sink(spark, store, store.path("raw.trades"), interval_sec))
-        .option("checkpointLocation", chk)
+        reduce(DataFrame.unionByName, streams)
+        .writeStream.foreachBatch(lambda batch, _: repair_touched(spark, store, batch, intervals))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

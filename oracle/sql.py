@@ -9,11 +9,24 @@ side applies in ``candlewick.functions.present``.
 
 from __future__ import annotations
 
-from candlewick.functions.exprs import fixed_weights, parse_utc
+import math
+from datetime import datetime, timezone
+
 from pyspark.sql import types as T
 
 # ----------------------------------------------------------------- presentation
 
+
+def parse_utc(value: str) -> datetime:
+    moment = datetime.fromisoformat(value)
+    return moment.replace(tzinfo=timezone.utc) if moment.tzinfo is None else moment.astimezone(timezone.utc)
+
+
+def fixed_weights(d: float, lags: int) -> list[float]:
+    """(-1)^k times the generalised binomial coefficient of d over k."""
+    return [(-1) ** k * math.prod(d - j for j in range(k)) / math.factorial(k) for k in range(lags + 1)]
+
+
 QUANT = 0.7071067811865476
 QUANT_SQL = f"CAST('{QUANT!r}' AS DOUBLE)"
 
@@ -426,7 +439,8 @@ def features_ctes(n: int, src: str = "bars", out: str = "feat", start=None, end=
 
     def ac(k):
         return (
-            f"CASE WHEN count(ax) OVER {_past(k)} >= 2 AND stddev_samp(ax) OVER {_past(k)} * stddev_samp(ay) OVER {_past(k)} > {dbl(1e-18)} "
+            f"CASE WHEN count(ax) OVER {_past(k)} >= 2 AND stddev_samp(ax) OVER {_past(k)} > max(abs(ax)) OVER {_past(k)} * {dbl(1e-13)} "
+            f"AND stddev_samp(ay) OVER {_past(k)} > max(abs(ay)) OVER {_past(k)} * {dbl(1e-13)} "
             f"THEN covar_samp(ax, ay) OVER {_past(k)} / (stddev_samp(ax) OVER {_past(k)} * stddev_samp(ay) OVER {_past(k)}) END"
         )
 
