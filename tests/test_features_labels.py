@@ -118,3 +118,15 @@ def test_presets_and_fused_equals_join(spark):
     sel = DS.dataset_select(joined, training_ready_only=True, label_valid_only=True, column_set="train")
     assert sel.columns == DS.TRAIN_COLUMNS
     assert joined.filter("label_is_valid = 0").count() == 60  # invalid labels stay in the view
+
+
+def test_autocorrelation_is_stable(spark):
+    growth = [100.0 * 1.25**k for k in range(40)]  # equal returns: no variance beyond rounding
+    rows = collect_sorted(time_bar_features(bars_from_closes(spark, growth), 60, chunk_rows=None), "bar_time")
+    assert all(r["autocorrelation_5"] is None and r["autocorrelation_20"] is None for r in rows)
+    tiny, x = [], 100.0
+    for k in range(60):  # returns of size 1e-9 that alternate
+        x *= 1 + (1e-9 if k % 2 else -1e-9) * (1 + k % 3)
+        tiny.append(x)
+    rows = collect_sorted(time_bar_features(bars_from_closes(spark, tiny), 60, chunk_rows=None), "bar_time")
+    assert rows[-1]["autocorrelation_20"] is not None and rows[-1]["autocorrelation_20"] < -0.5

@@ -58,3 +58,13 @@ def test_latest_symbols_by_updated_at(spark):
     df = spark.createDataFrame([row(0.1, 1), row(0.5, 3), row(0.2, 2)], schemas.META_SYMBOLS)
     out = latest_symbols(df).collect()
     assert len(out) == 1 and out[0]["tick_size"] == 0.5
+
+
+def test_dataset_row_count_filters_both_sides(spark):
+    from candlewick.plans.quality import dataset_row_count
+
+    rows = [("X", s, i, f"2031-01-0{d} 00:00:00", 1) for s in "AB" for i in (60, 300) for d in (1, 2, 3)]
+    both = spark.createDataFrame(rows, "exchange string, symbol string, bar_interval_sec int, bar_time string, is_valid int")
+    both = both.withColumn("bar_time", F.col("bar_time").cast("timestamp"))
+    got = dataset_row_count(both.withColumnRenamed("is_valid", "label_is_valid"), both, 300, "2031-01-02", "2031-01-04", symbol="B").first()
+    assert tuple(got) == (2, 2, 0)
