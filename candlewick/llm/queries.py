@@ -85,7 +85,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DC.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@register("op7_embedding_dedup")
+@register("op7_embedding_dedup", S.OP7)
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ED.near_embeddings(table(spark, sf_dir, "embeddings"))
 

@@ -65,3 +65,19 @@ reach as (
 select s.doc_id, len(s.s) as n_shingles, least(s.doc_id, coalesce(min(r.y), s.doc_id)) as component_id,
        least(s.doc_id, coalesce(min(r.y), s.doc_id)) = s.doc_id as kept
 from shingled s left join reach r on r.x = s.doc_id group by s.doc_id, s.s"""
+
+OP7 = """
+with recursive vectors as (
+  select vec_id, embedding::double[] as e from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x : x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x : x <> 0)) > 0),
+links as (
+  select a.vec_id as x, b.vec_id as y from vectors a join vectors b
+    on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95),
+reach as (select x, y from links union select r.x, l.y from reach r join links l on l.x = r.y),
+degrees as (select x, count(*) as n from links group by x),
+lowest as (select x, min(y) as root from reach group by x)
+select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(root, vec_id)) as component_id,
+       least(vec_id, coalesce(root, vec_id)) = vec_id as kept
+from embeddings left join degrees on degrees.x = vec_id left join lowest on lowest.x = vec_id"""
