@@ -162,8 +162,8 @@ def lineitem_trades(lineitem: DataFrame) -> DataFrame:
 def data_range(events: DataFrame) -> tuple[str, str]:
     """Whole-day UTC range covering every event: [first day, day after the last).
 
-    One global min/max aggregation (answered from parquet statistics where
-    possible); the driver receives a single row.
+    One global min/max aggregation over the time column; the driver receives a
+    single row.
     """
     from datetime import datetime, timezone
 

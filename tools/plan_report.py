@@ -10,14 +10,17 @@ from __future__ import annotations
 import os
 import re
 import sys
+from datetime import timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from candlewick.functions.exprs import parse_utc  # noqa: E402
 from candlewick.operators import bars as B  # noqa: E402
 from candlewick.operators import dataset as DS  # noqa: E402
 from candlewick.operators.features import time_bar_features  # noqa: E402
 from candlewick.operators.labels import time_bar_labels  # noqa: E402
 from candlewick.operators.rollup import rollup_bars  # noqa: E402
+from candlewick.plans.sinks import Store, read_layer, write_layer  # noqa: E402
 from candlewick.session import build_session, shared_path  # noqa: E402
 from candlewick.sources import fixtures  # noqa: E402
 
@@ -62,13 +65,16 @@ def main() -> None:
     start, end = fixtures.data_range(ev)
     grid_live = B.time_bars(raw, 60, start, end)
     # downstream operators read the stored sample layer, as the layered jobs do
-    stored = shared_path(spark, "plan_report", "bars", unique=True)
-    grid_live.write.parquet(stored)
-    grid = spark.read.parquet(stored)
+    store = Store(shared_path(spark, "plan_report", unique=True))
+    write_layer(grid_live, store, "sample.bars_time")
+    grid = read_layer(spark, store, "sample.bars_time", interval_sec=60)
+    day = [parse_utc(start) + timedelta(days=d) for d in (3, 4)]
+    one_day = read_layer(spark, store, "sample.bars_time", start=day[0], end=day[1], interval_sec=60)
     items = [
         ("trade_bars (60 s, two-level)", B.trade_bars(raw["trades"], 60)),
         ("trade_gaps", B.trade_gaps(raw["trades"], 60)),
         ("time_bars grid (60 s, five sources, as-of fill)", grid_live),
+        ("read_layer, one day of 60 s bars", one_day),
         ("rollup_bars 3600 over the grid", rollup_bars(grid, 3600)),
         ("time_bar_features, halo chunks", time_bar_features(grid, 60)),
         ("time_bar_labels, halo chunks", time_bar_labels(grid, 60)),
@@ -79,7 +85,7 @@ def main() -> None:
         "",
         "Physical-plan shape of the headline operators (`python tools/plan_report.py`, sf0.001): AQE final plans after",
         "execution, so join strategies are the runtime choices (static broadcast is off; AQE broadcasts only measured",
-        "stages). Rollup, features, labels and the fused dataset read the stored 60 s bar layer, as the layered jobs do.",
+        "stages). Rollup, features, labels and the fused dataset read the stored 60 s bars through `read_layer`.",
         "",
     ]
     out += [summary(name, df) for name, df in items]
