@@ -67,5 +67,16 @@ def stored(frame: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def run_id() -> str:
-    return uuid.uuid4().hex[:12]
+# Ids that a broadcast may hold (16 MB); more go through a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents whose id is in ``ids`` (a stored table with the column id).
+
+    The ids are counted first: few are broadcast, so that the texts of all other
+    documents stay out of a shuffle; otherwise both sides are shuffled.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import shuffle_partitions, stored
+from candlewick.llm.common import shuffle_partitions, stored, texts_of
 from candlewick.llm.components import components
 from candlewick.llm.shingles import WORDS, mix, shingle_sets, text_batches
 from candlewick.llm.tokens import rows_of
@@ -103,9 +103,8 @@ def sketch_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, word
 
 def confirm(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The pairs (a, b) of document ids whose full shingle sets are similar enough."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = stored(texts.join(wanted, "id", "left_semi"), "pair_texts")
+    texts = stored(texts_of(docs, stored(wanted, "pair_ids")), "pair_texts")
     rows = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     rows = rows.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
 
@@ -148,7 +147,7 @@ def across_components(members: DataFrame, roots: DataFrame, bands: DataFrame, do
     here = mixed.select("key", "id", "root", "out", F.lit(0).alias("side"), number("outer").alias("o"), F.pmod(F.xxhash64("id"), F.col("inner")).alias("i"))
     there = mixed.where("out").select("key", "id", "root", "out", F.lit(1).alias("side"), F.pmod(F.xxhash64("id"), F.col("outer")).alias("o"), number("inner").alias("i"))
     places = stored(here.unionByName(there), "mixed_buckets")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(places.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    texts = texts_of(docs, stored(places.select("id").distinct(), "mixed_ids")).dropDuplicates(["id"])
     rows = places.join(texts.join(bands.select(F.col("doc_id").alias("id"), "bands"), "id"), "id")
     rows = rows.repartition(shuffle_partitions(spark), "key", "o", "i").sortWithinPartitions("key", "o", "i", "side", "id")
 
