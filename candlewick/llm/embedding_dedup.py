@@ -4,10 +4,11 @@ Filters: a random rotation (sign flips and Hadamard transforms) parts a vector
 into two halves; each half has a random code of K directions, and every pair of
 them is one of K^2 filter directions.  A vector is decoded to all filters whose
 inner product exceeds the cap's bound, found from the sorted products of one
-half, and to its best ``LEAST`` ones if fewer do.  ``ROTATIONS`` independent
-rotations make a missed pair rare: of random pairs at cosine 0.95 exactly none of 3,000
-was missed.  K grows with the square root of the number of vectors, so a
-filter's expected share of unrelated vectors stays the same.
+half, and to its best ``LEAST`` ones if fewer do.  K grows with the square root of
+the number of vectors, so a filter's expected share of unrelated vectors stays the
+same.  A pair shares a filter of one rotation less often as K grows; that chance is
+estimated for the length and K from random pairs at the cosine exactly, and as many
+independent rotations are taken as make a missed pair rarer than ``MISS``.
 
 Verification: the vectors of a filter are compared by block products in double
 precision.  A pair that several filters hold is counted in the first of them
@@ -36,11 +37,13 @@ from candlewick.llm.components import components
 from candlewick.llm.tokens import rows_of
 
 COSINE = 0.95
-ROTATIONS, EXPECTED, LEAST = 4, 8, 4
+ROTATIONS, EXPECTED, LEAST = 4, 8, 4  # rotations: at least so many
+MISS, PAIRS = 1e-4, 250
 MAX_CODE = 4096
 BLOCK = 1024
 SEED = 71
 _CODES: dict = {}
+_ROTATIONS: dict = {}
 
 
 def hadamard(x):
@@ -70,7 +73,29 @@ def code(dimension: int, k: int, rotation: int):
     return _CODES[at]
 
 
-def filters(x, k: int) -> list:
+def rotations_for(dimension: int, k: int, cosine: float) -> int:
+    """Rotations that miss a pair at ``cosine`` with a probability of at most ``MISS``; alike in every task."""
+    import numpy as np
+
+    at = (dimension, k, cosine)
+    if at not in _ROTATIONS:
+        random = np.random.Generator(np.random.PCG64([SEED, dimension, k]))
+        one, two = unit(random.standard_normal((PAIRS, dimension))), random.standard_normal((PAIRS, dimension))
+        two = two - (one * two).sum(axis=1, keepdims=True) * one
+        two = unit(two) * np.sqrt(max(0.0, 1 - cosine**2)) + cosine * one if dimension > 1 else one
+        keys = filters(np.concatenate((one, two)), k)
+        space = MAX_CODE**2
+        shared = sum(len(np.unique(np.intersect1d(a, b) // space)) for a, b in zip(keys[:PAIRS], keys[PAIRS:], strict=True))
+        n = PAIRS * ROTATIONS
+        p = shared / n
+        p -= 3 * np.sqrt(max(p * (1 - p), 1 / n) / n)  # three deviations of the estimate
+        if p <= 0:
+            raise ValueError(f"pairs at cosine {cosine} share no filters of {k} directions")
+        _ROTATIONS[at] = max(ROTATIONS, int(np.ceil(np.log(MISS) / np.log1p(-p))))
+    return _ROTATIONS[at]
+
+
+def filters(x, k: int, rotations: int = ROTATIONS) -> list:
     """For each row of unit vectors its sorted filter keys."""
     import numpy as np
 
@@ -78,7 +103,7 @@ def filters(x, k: int) -> list:
     size = max(2, 1 << (dimension - 1).bit_length())
     bound = NormalDist().inv_cdf(1 - min(0.5, EXPECTED / k**2)) / np.sqrt(size)
     out: list[list] = [[] for _ in x]
-    for rotation in range(ROTATIONS):
+    for rotation in range(rotations):
         signs, books = code(dimension, k, rotation)
         y = np.zeros((len(x), size))
         y[:, :dimension] = x
@@ -87,7 +112,7 @@ def filters(x, k: int) -> list:
         one, two = y[:, : size // 2] @ books[0].T, y[:, size // 2 :] @ books[1].T
         order = np.argsort(-two, axis=1)
         two = np.take_along_axis(two, order, axis=1)
-        base = (dimension * ROTATIONS + rotation) * MAX_CODE**2
+        base = ((dimension << 12) + rotation) * MAX_CODE**2
         for v in range(len(x)):
             near = np.flatnonzero(one[v] + two[v, 0] >= bound)
             count = np.searchsorted(-two[v], one[v, near] - bound, "right")
@@ -176,7 +201,7 @@ def near_embeddings(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
                 lengths = np.array([len(v) for v in raw])
                 for d in np.unique(lengths):
                     at = np.flatnonzero(lengths == d)
-                    for r, keys in zip(at, filters(unit(np.stack([raw[r] for r in at])), k), strict=True):
+                    for r, keys in zip(at, filters(unit(np.stack([raw[r] for r in at])), k, rotations_for(int(d), k, cosine)), strict=True):
                         found[r] = keys
                 yield pa.RecordBatch.from_pydict(
                     {n: part[n] for n in ("h1", "h2", "rep", "weight")} | {"vector": [v.tobytes() for v in raw], "keys": [f.astype("<i8") for f in found]},
