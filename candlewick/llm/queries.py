@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from candlewick.llm import decontamination as DC
 from candlewick.llm import embedding_dedup as ED
+from candlewick.llm import hmm_scoring as HM
+from candlewick.llm import importance_resampling as IR
 from candlewick.llm import language_id as LI
 from candlewick.llm import line_dedup as LD
 from candlewick.llm import minhash_dedup as MH
 from candlewick.llm import packing as PK
 from candlewick.llm import pii as PI
+from candlewick.llm import spelling_variants as SV
 from candlewick.llm import sql as S
 from candlewick.llm import substring_dedup as SD
 from candlewick.llm import token_files as TF
@@ -98,3 +101,21 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_substring_dedup")
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SD.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@register("op11_spelling_variants", S.OP11)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SV.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@register("op12_importance_resampling", S.OP12)
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = IR.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register("op13_hmm_scoring")
+def op13_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7))
+    rows = HM.hmm_scores(table(spark, sf_dir, "documents"), remainder != 2)
+    return rows.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
