@@ -42,7 +42,20 @@ ITERATIONS, SPAN, BLOCK = 6, 64, 16_000_000
 # Added to each expected count of a class, and of a transition.
 LIGHT = 0.01
 END = ""  # no word is empty, so the end of a text takes the empty string in the vocabulary
-BLOCKS = "block string, ids array<long>, learn array<boolean>, sizes array<int>, tokens binary, words array<string>, counts array<long>"
+BLOCKS = "block long, ids array<long>, learn array<boolean>, sizes array<int>, tokens binary, words array<string>, counts array<long>"
+
+
+def packed(tokens) -> bytes:
+    """int32 numbers with all first bytes in front, then all second bytes, ...: the high bytes compress to almost nothing."""
+    import numpy as np
+
+    return tokens.astype(np.int32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data):
+    import numpy as np
+
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
 
 
 def tokenised(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
@@ -59,8 +72,8 @@ def tokenised(docs: DataFrame, learn: Column, block: int = BLOCK) -> DataFrame:
             every = np.concatenate(tokens) if tokens else np.zeros(0, np.int32)
             learned = np.repeat(np.array([bool(f) for f in flags], bool), sizes)
             counts = np.bincount(every[learned], minlength=len(vocabulary))
-            row = {"block": uuid.uuid4().hex, "ids": ids, "learn": flags, "sizes": sizes, "tokens": every.tobytes(), "words": [w.decode() for w in vocabulary], "counts": counts.tolist()}
-            types = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
+            row = {"block": uuid.uuid4().int >> 65, "ids": ids, "learn": flags, "sizes": sizes, "tokens": packed(every), "words": [w.decode() for w in vocabulary], "counts": counts.tolist()}
+            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types, strict=True)], names=list(row))
 
         for texts, their_ids, their_flags in text_batches(batches, "text", "doc_id", "learn"):
@@ -106,10 +119,11 @@ def word_table(blocks: DataFrame, own: int = OWN_CLASSES, signatures: int = SIGN
 def with_counts(blocks: DataFrame, words: DataFrame) -> DataFrame:
     """The blocks with the corpus count and the class of each word of their vocabulary, in place of the words."""
     entries = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    found = entries.join(words, "word").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", "n", "class"))).alias("v"))
-    found = found.select(F.col("block").alias("__block"), F.col("v.n").alias("n"), F.col("v.class").alias("class"))
+    # merged, never broadcast: the words grow with the corpus; a block's entries come in any order, with their places
+    found = entries.join(words.hint("merge"), "word").groupBy("block").agg(F.collect_list(F.struct("at", "n", "class")).alias("v"))
+    found = found.select(F.col("block").alias("__block"), "v.at", "v.n", "v.class")
     kept = blocks.select("block", "ids", "learn", "sizes", "tokens")
-    return stored(kept.join(found, F.col("block") == F.col("__block")).drop("__block"), "lm_counted")
+    return stored(kept.join(found.hint("merge"), F.col("block") == F.col("__block")).drop("__block"), "lm_counted")
 
 
 # ------------------------------------------------------------------ the model
@@ -234,18 +248,26 @@ def first_model(shares, states: int):
 
 
 def arrays(batches, *columns: str) -> Iterator[tuple]:
-    """Rows of the counted blocks as numpy arrays; ids and flags, which may be null, as Arrow arrays."""
+    """Rows of the counted blocks as numpy arrays, counts and classes in the order of the vocabulary; ids and flags, which may be null, as Arrow arrays."""
     import numpy as np
 
     for batch in batches:
         for i in range(batch.num_rows):
+            row = {c: batch.column(batch.schema.get_field_index(c))[i] for c in batch.schema.names}
+            at = row["at"].values.to_numpy()
             found = []
             for c in columns:
-                value = batch.column(batch.schema.get_field_index(c))[i]
                 if c == "tokens":
-                    found.append(np.frombuffer(value.as_buffer(), np.int32))
+                    found.append(unpacked(row[c].as_buffer()))
+                elif c in ("ids", "learn"):
+                    found.append(row[c].values)
                 else:
-                    found.append(value.values if c in ("ids", "learn") else value.values.to_numpy(zero_copy_only=False))
+                    value = row[c].values.to_numpy()
+                    if c in ("n", "class"):
+                        ordered = np.empty_like(value)
+                        ordered[at] = value
+                        value = ordered
+                    found.append(value)
             yield tuple(found)
 
 
@@ -277,7 +299,7 @@ def iterate(blocks: DataFrame, model: Hmm, span: int) -> Hmm:
         yield pa.RecordBatch.from_arrays(columns, names=["row", *(f"z{s}" for s in range(k))])
 
     schema = ", ".join(["row int", *(f"z{s} double" for s in range(k))])
-    sums = blocks.select("learn", "sizes", "tokens", "class").mapInArrow(run, schema)
+    sums = blocks.select("learn", "sizes", "tokens", "at", "class").mapInArrow(run, schema)
     sums = sums.groupBy("row").agg(*(F.sum(f"z{s}").alias(f"z{s}") for s in range(k))).collect()  # a row for each class
     total = np.zeros((classes_n + k + 1, k))
     for r in sums:
