@@ -240,7 +240,7 @@ def upper_trees(words: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> dic
     if large:
         share = min(1.0, sample / total)
         some = words.where(F.length("word").isin(list(large))).where(F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30)))
-        for r in some.select("word").toLocalIterator():
+        for r in some.select("word").collect():  # about ``sample`` words at most
             drawn[len(r["word"])].append(r["word"])
     trees, number = {}, 0
     for size, n in sizes:
