@@ -1,31 +1,22 @@
 """DED-1: newest version per key (read-time replacement of versioned rows).
 
 Layers are appended, never updated in place: a re-run writes the same keys
-again with a higher ``_version``.  The newest version of each key is a hash
-aggregation over the key columns and one number (partial aggregation keeps a
-key with many versions cheap); the rows are then joined to it, so the wide
-rows are never sorted by version.
+again with a higher ``_version``.  Rows are dealt by key once and the newest of
+each key is kept; Spark cuts each task's rows to one per key before that
+exchange.  ``plans.sinks.read_layer`` sends only those files through it whose
+ranges meet files of other commits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def latest_version(df: DataFrame, keys: list[str], version: str = "_version") -> DataFrame:
-    """Keep the rows with the greatest ``version`` of their key.
-
-    A run writes a key once, and ``new_version`` differs between runs, so a key
-    and version name one row.
-    """
-    newest = df.groupBy(*keys).agg(F.max(version).alias("_newest"))
-    newest = newest.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_newest")
-    same = [F.col(k) == F.col(f"_key_{k}") for k in keys] + [F.col(version) == F.col("_newest")]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
-    return df.join(newest, condition, "left_semi")
+    """Keep one row with the greatest ``version`` of each key (equal versions of a key are copies of one row)."""
+    newest = Window.partitionBy(*keys).orderBy(F.col(version).desc())
+    return df.withColumn("__place", F.row_number().over(newest)).where(F.col("__place") == 1).drop("__place")
 
 
 def latest_symbols(symbols: DataFrame) -> DataFrame:

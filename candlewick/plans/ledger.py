@@ -5,6 +5,10 @@ failed) carrying the real row count observed while writing.  Repairs append
 *correction* events.  Nothing is updated in place: the state of a run is its
 newest event (``max_by`` over (event_ts, event_seq)), so concurrent writers and
 retried tasks never lose updates.
+
+A finish reads only the files whose run-id range holds its run (from the commit log).
+After every ``FOLD_EVERY`` commits the events are folded into the newest one of each run,
+so that reading the whole state means one file and a bounded tail.
 """
 
 from __future__ import annotations
@@ -18,11 +22,13 @@ from pyspark.sql import functions as F
 
 from candlewick import schemas
 from candlewick.functions.exprs import parse_utc
-from candlewick.plans.sinks import Store, read_layer, write_layer
+from candlewick.plans.commits import CommitConflict
+from candlewick.plans.sinks import Store, _put_files, _read_files, log_of, read_layer, write_layer
 
 LEDGER = "meta.pipeline_runs"
 # Fixed value: a running record older than this many minutes is stale.
 STALE_MINUTES = 30
+FOLD_EVERY = 50
 
 _seq = iter(range(1, 1 << 62))
 
@@ -72,7 +78,7 @@ def record_start(spark, store: Store, layer: str, table: str, interval_sec: int,
 
 
 def record_finish(spark, store: Store, run_id: str, row_count: int, status: str = "done", now=None) -> None:
-    state = run_state(read_layer(spark, store, LEDGER)).filter(F.col("run_id") == run_id)
+    state = run_state(read_layer(spark, store, LEDGER, key=run_id))
     ts = _naive(now) if now else _now()
     # finish event = previous state with the new status (one tiny row)
     ev = state.select(
@@ -83,11 +89,30 @@ def record_finish(spark, store: Store, run_id: str, row_count: int, status: str
         F.lit(next(_seq)).cast("long").alias("event_seq"),
     )
     write_layer(ev, store, LEDGER)
+    if log_of(spark, store, LEDGER).newest() % FOLD_EVERY < 2:  # its own commit, or the start of another run behind it
+        fold_ledger(spark, store)
+
+
+def fold_ledger(spark, store: Store) -> int:
+    """Replace the event files by one with the newest event of each run; returns how many files were replaced."""
+    log = log_of(spark, store, LEDGER)
+    seen = log.newest()
+    old = [r[0] for r in log.files().where(F.col("seq") <= seen).select("path").collect()]  # a bounded tail
+    if len(old) < 2:
+        return 0
+    names = [f.name for f in schemas.PIPELINE_RUN_EVENTS.fields]
+    events = _read_files(spark, store, LEDGER, sorted(old)).select(*names)
+    ident, added = _put_files(run_state(events).select(*names).coalesce(1), store, LEDGER, rewrite=True)
+    try:
+        log.commit([{**e, "commit": ident} for e in added], removed=old, seen=seen)
+    except CommitConflict:  # another run has folded them
+        return 0
+    return len(old)
 
 
-def run_layer_job(spark, store: Store, layer: str, table: str, interval_sec, frame_fn, start=None, end=None, symbols=None):
+def run_layer_job(spark, store: Store, layer: str, table: str, interval_sec, frame_fn, start=None, end=None, symbols=None, config=None):
     """Ledger wrapper: start event → compute + write → finish event (failed re-raises)."""
-    run_id = record_start(spark, store, layer, table, interval_sec, start, end, symbols)
+    run_id = record_start(spark, store, layer, table, interval_sec, start, end, symbols, config)
     try:
         rows = frame_fn(run_id)
     except Exception:

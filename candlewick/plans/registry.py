@@ -865,6 +865,21 @@ for _channel in _LANDED:
     _register_landing(_channel)
 
 
+@register("stream_ingest_resumed", _sql(select="SELECT * FROM trades", columns=_cols(schemas.RAW_TRADES)))
+def q_landing_resumed(spark, sf):
+    """SRC-6 over several calls: two sources, one of them twice, and a batch append give each row once."""
+    c = Ctx(spark, sf)
+    store, folder = c.store("resumed"), shared_path(spark, "candlewick_sources", unique=True)
+    third = F.pmod(F.col("event_id"), F.lit(3))
+    sources = [f"{folder}/{k}/events.parquet" for k in range(2)]
+    for k, source in enumerate(sources):
+        c.events.filter(third == k).write.parquet(source)
+    for source in (*sources, sources[0]):
+        STR.land_stream(spark, source, store, ["trades"])
+    SNK.land_raw({"trades": fixtures.raw_frames(c.events.filter(third == 2))["trades"]}, store)
+    return _out(SNK.read_layer(spark, store, "raw.trades"))
+
+
 @register(
     "stream_late_repair",
     _sql(
@@ -899,6 +914,20 @@ def q_write_layer(spark, sf):
     return _out(SNK.read_layer(spark, store, "sample.bars_time").drop("_version", "_run_id"))
 
 
+@register("compact_layer", _sql(O.bars_ctes(60), select="SELECT * FROM bars", columns=_cols(schemas.BARS)))
+def q_compact_layer(spark, sf):
+    """SNK-1 around compaction: a re-run, a compaction that stops before its commit, one that commits, and a further re-run of half the range."""
+    c = Ctx(spark, sf)
+    store, name = c.store("compact"), "sample.bars_time"
+    bars = B.time_bars(c.raw, 60)
+    for _ in range(2):
+        SNK.write_layer(bars, store, name)
+    SNK._put_files(SNK.read_layer(spark, store, name, latest=False).withColumn("ym", F.date_format("bar_time", "yyyyMM")), store, name, rewrite=True)
+    SNK.compact_layer(spark, store, name)
+    SNK.write_layer(bars.filter(F.col("bar_time") < F.lit(c.offset(15)).cast("timestamp")), store, name)
+    return _out(SNK.read_layer(spark, store, name))
+
+
 @register(
     "export_csv",
     _sql(*_DS_CTES_3600, select=f"SELECT {', '.join(DS.TRAIN_COLUMNS)} FROM ds WHERE training_ready = 1 AND label_is_valid = 1", columns=_ds_columns(DS.TRAIN_COLUMNS)),

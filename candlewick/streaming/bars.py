@@ -1,7 +1,9 @@
 """Structured Streaming view of the bar and landing operators (STR-1..4, SRC-6).
 
-* ``land_stream``: file stream of feed messages → normalised raw rows →
-  parquet partitioned by event day (``availableNow`` for catch-up runs).
+* ``land_stream``: file stream of feed messages → normalised raw rows → the raw
+  layer.  Each channel and source has one checkpoint, and each micro-batch is one
+  commit named by (query, batch), so a later call goes on and a repeated batch adds
+  nothing (``availableNow`` for catch-up runs).
 * ``streaming_trade_bars_two_level`` (used by ``stream_bars_to``): event-time
   tumbling bars with a watermark equal to the safety lag, as a chained
   aggregation — 1-second windows, then bars of seconds; append mode emits a
@@ -9,15 +11,15 @@
   ``lag``: a second keeps its distinct millisecond marks (at most 1000) and a
   bar keeps one (first ms, last ms, inner gap) struct per non-empty second, so
   state is bounded by the interval whatever the trade rate.
-  ``streaming_trade_bars`` is the single-level form (state: the distinct
-  milliseconds of a whole bar), fine for short intervals.
-* ``late_repair_sink``: a ``foreachBatch`` sink that recomputes every bar a
-  micro-batch touched from the raw layer and appends it with a new
-  ``_version``; DED-1 at read time makes the final state equal to a batch run.
+* ``stream_late_repair``: follows the commit logs of the raw channels; each
+  micro-batch rebuilds what its new rows touch (``repair_touched``) and appends it
+  with a new ``_version``; DED-1 at read time makes the final state equal to a batch run.
 """
 
 from __future__ import annotations
 
+import hashlib
+import threading
 import uuid
 from datetime import timedelta, timezone
 from functools import reduce
@@ -30,8 +32,9 @@ from candlewick import schemas
 from candlewick.functions.exprs import EPOCH, epoch_millis, ratio
 from candlewick.operators.bars import time_bars
 from candlewick.operators.labels import LOOKFORWARD_BARS
-from candlewick.plans.incremental import LAYERS, Step, last_closes, layer_frame
-from candlewick.plans.sinks import RAW_TABLES, Store, newest_partitions, read_layer, write_layer
+from candlewick.plans.commits import ENTRIES
+from candlewick.plans.incremental import LAYERS, Step, layer_frame
+from candlewick.plans.sinks import RAW_TABLES, Store, last_closes, log_of, newest_times, read_layer, write_layer
 from candlewick.sources import fixtures
 from candlewick.sources.normalize import NORMALIZERS
 
@@ -50,20 +53,24 @@ EVENTS_SCHEMA = T.StructType(
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """The driver's events file as a stream (other tables in the folder are skipped)."""
-    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+    """The events file of a folder as a stream (other tables in it are skipped), or all files of a folder ``*.parquet``."""
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if not sf_dir.endswith(".parquet"):
+        reader = reader.option("pathGlobFilter", "events.parquet")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", int(max_files))
     return reader.parquet(sf_dir)
 
 
-def raw_stream(spark: SparkSession, store: Store, channel: str, max_files: int | None = None) -> DataFrame:
-    """The landed raw rows of a channel as a stream of their files."""
-    name = RAW_TABLES[channel]
-    reader = spark.readStream.schema(schemas.LAYERS[name][0])
+def commit_stream(spark: SparkSession, store: Store, channel: str, max_files: int | None = None) -> DataFrame:
+    """The files (channel, path) that the commits of a raw channel add, as a stream of its log."""
+    log = log_of(spark, store, RAW_TABLES[channel])
+    log.create()
+    reader = spark.readStream.schema(ENTRIES)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", int(max_files))
-    return reader.parquet(store.path(name))
+    added = reader.json(log.path("log")).where((F.col("action") == "add") & ~F.coalesce("rewrite", F.lit(False)))
+    return added.select(F.lit(channel).alias("channel"), "path")
 
 
 def streaming_trade_bars_two_level(trades: DataFrame, interval_sec: int = 60, delay: str = DEFAULT_SAFETY_LAG) -> DataFrame:
@@ -179,8 +186,8 @@ def stream_bars_to(spark: SparkSession, sf_dir: str, root: str, interval_sec: in
     return spark.read.parquet(sink)
 
 
-def land_stream(spark: SparkSession, sf_dir: str, store: Store, channels=tuple(RAW_TABLES)) -> None:
-    """SRC-6 / STR-4: continuous landing of the channels, partitioned by day."""
+def land_stream(spark: SparkSession, sf_dir: str, store: Store, channels=tuple(RAW_TABLES), symbols: list[str] | None = None, max_files: int | None = None) -> None:
+    """SRC-6 / STR-4: land what the channels of a source have brought since the last call, of all symbols or those listed."""
     messages = {
         "trades": fixtures.trade_messages,
         "book": fixtures.book_messages,
@@ -188,10 +195,26 @@ def land_stream(spark: SparkSession, sf_dir: str, store: Store, channels=tuple(R
         "funding": fixtures.funding_messages,
         "open_interest": fixtures.open_interest_messages,
     }
+    source = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:16]
     for channel in channels:
-        rows = NORMALIZERS[channel](messages[channel](event_stream(spark, sf_dir))).withColumn("dt", F.to_date("timestamp"))
-        chk = f"{store.root.rstrip('/')}/_chk/land_{channel}_{uuid.uuid4().hex[:10]}"
-        run_available_now(rows, store.path(RAW_TABLES[channel]), chk, partition_by=["dt"])
+        rows = messages[channel](event_stream(spark, sf_dir, max_files))
+        if symbols is not None:
+            rows = rows.filter(F.col("symbol").isin(list(symbols)))
+        land_rows(NORMALIZERS[channel](rows), store, channel, f"{store.root.rstrip('/')}/_chk/land_{channel}_{source}")
+
+
+def land_rows(rows: DataFrame, store: Store, channel: str, checkpoint: str) -> None:
+    """Append a stream of raw rows to its channel's layer; each micro-batch is committed once, by (query, batch)."""
+    started, query_id = threading.Event(), []
+
+    def land(batch: DataFrame, number: int) -> None:
+        started.wait()
+        write_layer(batch, store, RAW_TABLES[channel], tag=f"{query_id[0]}/{number}")
+
+    query = rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query_id.append(query.id)  # stays the same for a checkpoint
+    started.set()
+    query.awaitTermination()
 
 
 def repair_touched(spark: SparkSession, store: Store, rows: DataFrame, intervals=()) -> None:
@@ -209,7 +232,7 @@ def repair_touched(spark: SparkSession, store: Store, rows: DataFrame, intervals
         return
     utc = lambda t: t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t
     start = utc(ends[0]).replace(hour=0, minute=0, second=0, microsecond=0)
-    stored = newest_partitions(spark, store, "sample.bars_time").filter(F.col("bar_interval_sec") == base).agg(F.max("bar_time")).first()[0]
+    stored = newest_times(spark, store, "sample.bars_time").filter(F.col("bar_interval_sec") == base).agg(F.max("newest")).first()[0]
     newest = max(utc(t) for t in (ends[1], stored) if t is not None)
     seconds = int((newest - EPOCH).total_seconds()) // base * base + base
     end = EPOCH + timedelta(seconds=seconds)
@@ -233,13 +256,16 @@ def repair_touched(spark: SparkSession, store: Store, rows: DataFrame, intervals
 
 
 def stream_late_repair(spark: SparkSession, store: Store, checkpoint: str, intervals=(), max_files: int | None = None) -> None:
-    """Process the raw files of all channels that landed since the checkpoint."""
-    streams = [raw_stream(spark, store, channel, max_files).select("exchange", "symbol", "timestamp") for channel in RAW_TABLES]
-    query = (
-        reduce(DataFrame.unionByName, streams)
-        .writeStream.foreachBatch(lambda batch, _: repair_touched(spark, store, batch, intervals))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Process the raw rows of all channels that were committed since the checkpoint."""
+
+    def repair(batch: DataFrame, _: int) -> None:
+        files: dict[str, list[str]] = {}
+        for r in batch.collect():  # names of the new files
+            files.setdefault(r["channel"], []).append(r["path"])
+        rows = [spark.read.schema(schemas.LAYERS[RAW_TABLES[c]][0]).parquet(*[f"{store.path(RAW_TABLES[c])}/{p}" for p in paths]) for c, paths in files.items()]
+        if rows:
+            repair_touched(spark, store, reduce(DataFrame.unionByName, [r.select("exchange", "symbol", "timestamp") for r in rows]), intervals)
+
+    streams = [commit_stream(spark, store, channel, max_files) for channel in RAW_TABLES]
+    query = reduce(DataFrame.unionByName, streams).writeStream.foreachBatch(repair).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick import schemas
+from candlewick.plans import commits as CM
 from candlewick.plans import incremental as INC
 from candlewick.plans import ledger as LED
 from candlewick.plans import sinks as SNK
@@ -60,38 +61,222 @@ def test_plans_run_inputs_before_what_needs_them():
     assert INC.parse_intervals("60, 900,") == [60, 900]
 
 
+def executed(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()  # before it runs: the initial plan alone
+
+
 def test_reads_prune_and_deduplicate_once(spark):
     from helpers import bars_from_closes
 
     store = SNK.Store(shared_path(spark, "test_prune", unique=True))
     SNK.write_layer(bars_from_closes(spark, [1.0] * 4), store, "sample.bars_time", version=1)
     SNK.write_layer(bars_from_closes(spark, [2.0] * 4), store, "sample.bars_time", version=2)
+    # another month, where no other commit has a row
+    SNK.write_layer(bars_from_closes(spark, [5.0] * 4, start="2026-04-02T00:00:00"), store, "sample.bars_time", version=3)
     read = SNK.read_layer(spark, store, "sample.bars_time", start="2026-03-02T00:01:00Z", end="2026-03-02T00:03:00Z", interval_sec=60)
-    plan = read._jdf.queryExecution().executedPlan().toString()  # before it runs: the initial plan alone
+    plan = executed(read)
     assert "_version" not in read.columns and {r.close for r in read.collect()} == {2.0} and read.count() == 2
     scans = [line for line in plan.split("\n") if "FileScan parquet" in line]
-    assert len(scans) == 2 and "SortAggregate" not in plan
-    for scan in scans:
-        assert "ym" in scan.split("PartitionFilters:")[1].split("]")[0]
-        assert "GreaterThanOrEqual(bar_time" in scan.split("PushedFilters:")[1]
-
-
-def test_compaction_keeps_rows_appended_meanwhile(spark, monkeypatch):
+    assert len(scans) == 1 and plan.count("Exchange") == 1 and "Join" not in plan
+    assert "ym" in scans[0].split("PartitionFilters:")[1].split("]")[0]
+    assert "GreaterThanOrEqual(bar_time" in scans[0].split("PushedFilters:")[1]
+    # files that no other commit overlaps pass through
+    whole = executed(SNK.read_layer(spark, store, "sample.bars_time"))
+    assert whole.count("FileScan parquet") == 2 and whole.count("Exchange") == 1
+    april = executed(SNK.read_layer(spark, store, "sample.bars_time", start="2026-04-01T00:00:00Z"))
+    assert april.count("FileScan parquet") == 1 and "Exchange" not in april
+    assert SNK.compact_layer(spark, store, "sample.bars_time") >= 2
+    compacted = SNK.read_layer(spark, store, "sample.bars_time")
+    assert "Exchange" not in executed(compacted) and sorted(r.close for r in compacted.collect()) == [2.0] * 4 + [5.0] * 4
+
+
+def test_compaction_interrupted_or_overtaken(spark, monkeypatch):
     from helpers import bars_from_closes
 
     store = SNK.Store(shared_path(spark, "test_compact", unique=True))
     for version in (1, 2):
         SNK.write_layer(bars_from_closes(spark, [float(version)] * 4), store, "sample.bars_time", version=version)
-    delete = SNK._delete_files
-
-    def append_then_delete(spark, paths):
+    log = SNK.log_of(spark, store, "sample.bars_time")
+    commit = CM.Log.commit
+
+    def crash(self, *args, **more):
+        raise RuntimeError("lost the driver")
+
+    # the new files are written, but never committed: nothing changes
+    monkeypatch.setattr(CM.Log, "commit", crash)
+    with pytest.raises(RuntimeError, match="lost"):
+        SNK.compact_layer(spark, store, "sample.bars_time")
+    monkeypatch.setattr(CM.Log, "commit", commit)
+    assert SNK.read_layer(spark, store, "sample.bars_time", latest=False).count() == 8
+    assert [r.close for r in SNK.read_layer(spark, store, "sample.bars_time").collect()] == [2.0] * 4
+
+    # rows that another run appends while it works stay
+    def append_first(self, *args, **more):
+        monkeypatch.setattr(CM.Log, "commit", commit)
         SNK.write_layer(bars_from_closes(spark, [9.0] * 6), store, "sample.bars_time", version=3)
-        delete(spark, paths)
+        return commit(self, *args, **more)
 
-    monkeypatch.setattr(SNK, "_delete_files", append_then_delete)
-    SNK.compact_layer(spark, store, "sample.bars_time")
+    monkeypatch.setattr(CM.Log, "commit", append_first)
+    assert SNK.compact_layer(spark, store, "sample.bars_time") >= 2
     assert SNK.read_layer(spark, store, "sample.bars_time", latest=False).count() == 10
-    assert {r.close for r in SNK.read_layer(spark, store, "sample.bars_time").collect()} == {9.0}
+    assert [r.close for r in SNK.read_layer(spark, store, "sample.bars_time").collect()] == [9.0] * 6
+
+    # two compactions of the same files: the later one commits nothing
+    def compact_first(self, *args, **more):
+        monkeypatch.setattr(CM.Log, "commit", commit)
+        SNK.compact_layer(spark, store, "sample.bars_time")
+        return commit(self, *args, **more)
+
+    monkeypatch.setattr(CM.Log, "commit", compact_first)
+    with pytest.raises(CM.CommitConflict):
+        SNK.compact_layer(spark, store, "sample.bars_time")
+    assert [r.close for r in SNK.read_layer(spark, store, "sample.bars_time", latest=False).collect()] == [9.0] * 6
+    # files of no commit go, those that are read stay
+    assert SNK.vacuum(spark, store, "sample.bars_time") == 0
+    assert SNK.vacuum(spark, store, "sample.bars_time", keep_hours=0) > 0
+    assert SNK.read_layer(spark, store, "sample.bars_time").count() == 6
+    assert log.newest() == log.entries().agg(F.max("seq")).first()[0]
+
+
+def test_log_snapshots_and_racing_commits(spark, monkeypatch):
+    monkeypatch.setattr(CM, "SNAPSHOT_EVERY", 4)
+    log = CM.Log(spark, shared_path(spark, "test_log", unique=True))
+    log.create()
+    live = set()
+    for k in range(11):
+        removed = {f"f{k - 3}"} if k % 3 == 0 and k else set()
+        assert log.commit([{"path": f"f{k}", "n_rows": k}], removed=removed, tag=f"t{k}") == k + 1
+        live = (live | {f"f{k}"}) - removed
+        assert {r.path for r in log.files().collect()} == live
+    assert log._numbers("snapshots") == [4, 8] and all(log.tagged(f"t{k}") for k in range(11))
+    assert log.commit([{"path": "again"}], tag="t2") is None and log.newest() == 11
+    # a writer that takes the number first makes the other one take the next
+    put = CM.Log._put
+
+    def overtaken(self, number, text):
+        monkeypatch.setattr(CM.Log, "_put", put)
+        assert log.commit([{"path": "first"}]) == number
+        return put(self, number, text)
+
+    monkeypatch.setattr(CM.Log, "_put", overtaken)
+    assert log.commit([{"path": "second"}]) == 13
+    assert {"first", "second"} <= {r.path for r in log.files().collect()}
+
+
+def test_landing_goes_on_and_batches_join_streams(spark, tmp_path):
+    """Two sources in two calls and a batch append give all rows; a repeated call gives none."""
+    from conftest import SF_SMALL
+
+    from candlewick.sources import fixtures
+    from candlewick.streaming import bars as STR
+
+    events = fixtures.read_table(spark, SF_SMALL, "events")
+    third = F.pmod(F.col("event_id"), F.lit(3))
+    for k in (0, 1):
+        events.filter(third == k).coalesce(1).write.parquet(str(tmp_path / f"s{k}" / "events.parquet"))
+    store = SNK.Store(shared_path(spark, "test_landing", unique=True))
+    landed = lambda: SNK.read_layer(spark, store, "raw.trades")
+    sizes = [events.filter(third == k).count() for k in range(3)]
+    source = [str(tmp_path / f"s{k}" / "events.parquet") for k in (0, 1)]
+    STR.land_stream(spark, source[0], store, ["trades"])
+    assert landed().count() == sizes[0]
+    STR.land_stream(spark, source[1], store, ["trades"])
+    assert landed().count() == sizes[0] + sizes[1]
+    STR.land_stream(spark, source[1], store, ["trades"])
+    assert landed().count() == sizes[0] + sizes[1]
+    SNK.land_raw({"trades": fixtures.raw_frames(events.filter(third == 2))["trades"]}, store)
+    assert landed().exceptAll(fixtures.raw_frames(events)["trades"]).isEmpty() and landed().count() == sum(sizes)
+    # new files of a known source
+    events.filter(third == 2).limit(7).coalesce(1).write.mode("append").parquet(source[0])
+    STR.land_stream(spark, source[0], store, ["trades"], symbols=["click"])
+    assert landed().count() == sum(sizes) + events.filter(third == 2).limit(7).filter("event_type = 'click'").count()
+
+
+def test_a_repeated_batch_is_committed_once(spark):
+    from conftest import SF_SMALL
+
+    from candlewick.sources import fixtures
+
+    store = SNK.Store(shared_path(spark, "test_tag", unique=True))
+    rows = fixtures.load_raw(spark, SF_SMALL)["funding"]
+    assert SNK.write_layer(rows, store, "raw.funding", tag="query/0") == rows.count()
+    assert SNK.write_layer(rows, store, "raw.funding", tag="query/0") == 0
+    assert SNK.write_layer(rows.limit(0), store, "raw.funding", tag="query/1") == 0
+    assert SNK.read_layer(spark, store, "raw.funding").count() == rows.count()
+
+
+def test_seed_closes_read_one_month_of_bars(spark):
+    """Closes before a time, also from months ago, after re-runs, and where a commit's closes are missing."""
+    from helpers import bars_from_closes
+
+    store = SNK.Store(shared_path(spark, "test_closes", unique=True))
+    put = lambda closes, start, **more: SNK.write_layer(bars_from_closes(spark, closes, start=start, **more), store, "sample.bars_time")
+    put([1.0, 2.0], "2026-01-31T23:58:00", symbol="OLD")
+    put([3.0, 4.0, 5.0], "2026-02-28T23:57:00", symbol="MID")
+    put([6.0, 7.0, 8.0], "2026-02-28T23:57:00", symbol="MID")  # a re-run
+    put([9.0], "2026-02-28T23:57:00", symbol="MID")  # a later run over an earlier bar alone
+    put([10.0, 11.0, 12.0], "2026-03-02T00:00:00", symbol="NEW")
+
+    def closes(before):
+        return {r.symbol: r.close for r in SNK.last_closes(spark, store, before).collect()}
+
+    assert closes("2026-03-02T00:02:00Z") == {"OLD": 2.0, "MID": 8.0, "NEW": 11.0}
+    assert closes("2026-02-28T23:59:00Z") == {"OLD": 2.0, "MID": 7.0} and closes("2026-01-31T23:58:00Z") == {}
+    files = SNK.last_closes(spark, store, "2026-03-02T00:02:00Z").inputFiles()
+    assert {f.split("ym=")[1][:6] for f in files if "bars_time" in f} == {"202603"}
+    # a commit of bars whose closes were never written
+    write_closes = SNK.write_closes
+    SNK.write_closes = lambda *args: None
+    try:
+        put([20.0, 21.0], "2026-02-28T23:58:00", symbol="MID")
+    finally:
+        SNK.write_closes = write_closes
+    assert closes("2026-03-02T00:02:00Z") == {"OLD": 2.0, "MID": 21.0, "NEW": 11.0}
+    SNK.compact_layer(spark, store, "sample.bars_time")
+    assert closes("2026-03-02T00:02:00Z") == {"OLD": 2.0, "MID": 21.0, "NEW": 11.0}
+
+
+def test_backfill_goes_on_after_a_failure(spark, monkeypatch):
+    from conftest import SF_SMALL
+
+    from candlewick.sources import fixtures
+
+    raw = fixtures.load_raw(spark, SF_SMALL)
+    steps = INC.by_month(INC.plan_range([3600], "2024-01-30T00:00:00Z", "2024-02-02T00:00:00Z", refresh_dataset=False))
+    assert [(s.layer, s.interval, s.start.day, s.end.day) for s in steps] == [(a, i, d, e) for a, i in (("sample", 60), ("sample", 3600), ("feature", 3600), ("label", 3600)) for d, e in ((30, 1), (1, 2))]
+    store = SNK.Store(shared_path(spark, "test_resume", unique=True))
+    frame, calls = INC.layer_frame, []
+
+    def third_fails(spark, store, raw, step, seed=True):
+        calls.append(step)
+        if len(calls) == 3:
+            raise RuntimeError("killed")
+        return frame(spark, store, raw, step, seed)
+
+    monkeypatch.setattr(INC, "layer_frame", third_fails)
+    with pytest.raises(RuntimeError, match="killed"):
+        INC.backfill(spark, store, raw, [3600], "2024-01-30T00:00:00Z", "2024-02-02T00:00:00Z", refresh_dataset=False, job="january")
+    INC.backfill(spark, store, raw, [3600], "2024-01-30T00:00:00Z", "2024-02-02T00:00:00Z", refresh_dataset=False, job="january")
+    assert calls == steps[:3] + steps[2:]  # finished steps are not written again
+    INC.backfill(spark, store, raw, [3600], "2024-01-30T00:00:00Z", "2024-02-02T00:00:00Z", refresh_dataset=False, job="january")
+    assert len(calls) == 1 + len(steps)
+    other = SNK.Store(shared_path(spark, "test_whole", unique=True))
+    monkeypatch.setattr(INC, "layer_frame", frame)
+    INC.backfill(spark, other, raw, [3600], "2024-01-30T00:00:00Z", "2024-02-02T00:00:00Z", refresh_dataset=False)
+    for name in INC.LAYERS.values():
+        a, b = SNK.read_layer(spark, store, name).drop("bid_px"), SNK.read_layer(spark, other, name).drop("bid_px")
+        assert a.count() == b.count() > 0 and a.exceptAll(b).isEmpty()
+
+
+def test_ledger_folds_its_events(spark, monkeypatch):
+    monkeypatch.setattr(LED, "FOLD_EVERY", 6)
+    store = SNK.Store(shared_path(spark, "test_fold", unique=True))
+    ids = [LED.run_layer_job(spark, store, "sample", "bars_time", 60, lambda run_id, k=k: k)[0] for k in range(4)]
+    files = SNK.log_of(spark, store, LED.LEDGER).files()
+    assert files.count() == 3 and files.agg(F.sum("n_rows")).first()[0] == 5  # folded after three runs, one run since
+    state = LED.run_state(SNK.read_layer(spark, store, LED.LEDGER))
+    assert {(r.run_id, r.status, r.row_count) for r in state.collect()} == {(i, "done", k) for k, i in enumerate(ids)}
+    assert len(SNK.read_layer(spark, store, LED.LEDGER, key=ids[3]).inputFiles()) <= 2
 
 
 def test_no_machine_local_folder_on_a_cluster():
