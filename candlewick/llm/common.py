@@ -23,6 +23,9 @@ _SHIPPED: set[str] = set()
 def prepare(spark: SparkSession) -> None:
     """Session settings, and the package for the Python workers of executors that lack it."""
     configure(spark)
+    # Joins of these operators grow with the corpus: only small measured sides are broadcast,
+    # so that many joins don't fill the driver.
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "8MB")
     # Rows of whole texts: batches for Python are bounded by their bytes.
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     context = spark.sparkContext
@@ -80,3 +83,10 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return texts.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
+
+def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) for ``nodes`` (stored: node, doc_id, text_hash), each one text of its document."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    few = nodes.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return texts.join(F.broadcast(nodes) if few else nodes, ["doc_id", "text_hash"]).dropDuplicates(["node"]).select("node", "text")

@@ -21,7 +21,8 @@ its ends are connected already.
 Edge cases: a text without words (null, empty, blank) has an empty set and links
 with nothing; one with fewer than five words is one shingle.  A null ``doc_id``
 links with nothing and gets a null component; it is kept.  Rows that repeat a
-``doc_id`` are judged each by its own text.
+``doc_id`` are judged each by its own text: a vertex is a class of equal sets, and the
+removal goes by id and text.
 """
 
 from __future__ import annotations
@@ -31,15 +32,15 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import shuffle_partitions, stored, texts_of
-from candlewick.llm.components import components
+from candlewick.llm.common import node_texts, shuffle_partitions, stored
+from candlewick.llm.components import components, lowest_ids, with_nodes
 from candlewick.llm.shingles import WORDS, mix, shingle_sets, text_batches
 from candlewick.llm.tokens import rows_of
 
 BANDS, ROWS = 32, 4
 PERCENT = 75
 BLOCK = 512
-SKETCH = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>"
+SKETCH = "doc_id long, text_hash long, n_shingles long, s1 long, s2 long, bands array<long>"
 
 
 def sketches(sets: list, t: int):
@@ -87,7 +88,7 @@ def sketch_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, word
         import numpy as np
         import pyarrow as pa
 
-        for texts, ids in text_batches(batches, "text", "doc_id"):
+        for texts, ids, text_hashes in text_batches(batches, "text", "doc_id", "text_hash"):
             sets = list(shingle_sets(texts, words))
             full = [s for s in sets if len(s)]
             keys = band_keys(sketches(full, bands * rows), bands, rows) if full else np.zeros((0, bands), np.int64)
@@ -95,18 +96,19 @@ def sketch_documents(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, word
             s1, s2 = (np.array([int(np.add.reduce(mix(s ^ np.uint64(seed)))) if len(s) else 0 for s in sets], np.uint64).view(np.int64) for seed in (0, 0x5851F42D4C957F2D))
             offsets = np.concatenate((np.zeros(1, np.int32), np.cumsum(np.where(n > 0, bands, 0)))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n), pa.array(s1), pa.array(s2), lists], names=["doc_id", "n_shingles", "s1", "s2", "bands"])
+            columns = [pa.array(ids, pa.int64()), pa.array(text_hashes, pa.int64()), pa.array(n), pa.array(s1), pa.array(s2), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "n_shingles", "s1", "s2", "bands"])
 
-    rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     return stored(rows_in.mapInArrow(run, SKETCH), "minhash_sketches")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """The pairs (a, b) of document ids whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = stored(texts_of(docs, stored(wanted, "pair_ids")), "pair_texts")
-    rows = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    rows = rows.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+def confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """The pairs (a, b) of ``nodes`` (node, doc_id, text_hash) whose full shingle sets are similar enough."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = stored(node_texts(docs, stored(nodes.join(wanted, "node"), "pair_nodes")), "pair_texts")
+    rows = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    rows = rows.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
 
     def run(batches) -> Iterator:
         import numpy as np
@@ -131,7 +133,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, words: in
     return stored(rows.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct(), "links")
 
 
-def across_components(members: DataFrame, roots: DataFrame, bands: DataFrame, docs: DataFrame, percent: int, words: int, block: int) -> DataFrame:
+def across_components(members: DataFrame, roots: DataFrame, leaders: DataFrame, docs: DataFrame, percent: int, words: int, block: int) -> DataFrame:
     """Links (a, b) between members of one bucket that lie in different components.
 
     Only the members outside a bucket's largest component are compared with the
@@ -147,8 +149,10 @@ def across_components(members: DataFrame, roots: DataFrame, bands: DataFrame, do
     here = mixed.select("key", "id", "root", "out", F.lit(0).alias("side"), number("outer").alias("o"), F.pmod(F.xxhash64("id"), F.col("inner")).alias("i"))
     there = mixed.where("out").select("key", "id", "root", "out", F.lit(1).alias("side"), F.pmod(F.xxhash64("id"), F.col("outer")).alias("o"), number("inner").alias("i"))
     places = stored(here.unionByName(there), "mixed_buckets")
-    texts = texts_of(docs, stored(places.select("id").distinct(), "mixed_ids")).dropDuplicates(["id"])
-    rows = places.join(texts.join(bands.select(F.col("doc_id").alias("id"), "bands"), "id"), "id")
+    mixed_nodes = leaders.join(places.select(F.col("id").alias("node")).distinct(), "node")
+    texts = node_texts(docs, stored(mixed_nodes.select("node", "doc_id", "text_hash"), "mixed_nodes"))
+    texts = texts.join(mixed_nodes.select("node", "bands"), "node").withColumnRenamed("node", "id")
+    rows = places.join(texts, "id")
     rows = rows.repartition(shuffle_partitions(spark), "key", "o", "i").sortWithinPartitions("key", "o", "i", "side", "id")
 
     def run(batches) -> Iterator:
@@ -220,33 +224,40 @@ def links_of_block(rows: list, key: int, percent: int, words: int) -> list[tuple
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT, words: int = WORDS, block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id, kept) for every row of ``docs`` (doc_id, text)."""
+    """(doc_id, text_hash, n_shingles, class_id, component_id, kept) for every row of ``docs`` (doc_id, text)."""
     sketch = sketch_documents(docs, bands, rows, words)
     able = sketch.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = able.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("class_id"))
-    classes = stored(classes, "minhash_classes")
+    keys = ["s1", "s2", "n_shingles"]
+    # A class: equal sets; its smallest document, and one text of that document with this set.
+    classes = able.groupBy(*keys).agg(F.min("doc_id").alias("class_id"), F.min_by("text_hash", "doc_id").alias("text_hash"))
+    classes, renamed = with_nodes(stored(classes, "minhash_classes"), keys, "class_id")
     # One sketch for each class: that of its smallest document.
-    leaders = able.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", "s1", "s2", "n_shingles"]).dropDuplicates(["doc_id"])
-    members = leaders.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    chosen = classes.select(*keys, F.col("class_id").alias("doc_id"), "text_hash", "node")
+    leaders = stored(able.join(chosen, [*keys, "doc_id", "text_hash"]).dropDuplicates(["node"]), "minhash_leaders")
+    members = leaders.select(F.col("node").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     sizes = members.groupBy("key").agg(F.count("*").alias("size"), F.min("id").alias("top"))
     members = members.join(sizes.where(F.col("size") > 1).drop("size"), "key")
     members = stored(members, "minhash_buckets")
 
-    tops = leaders.select(F.col("doc_id").alias("top"), F.col("n_shingles").alias("n_top"))
+    tops = leaders.select(F.col("node").alias("top"), F.col("n_shingles").alias("n_top"))
     close = 100 * F.least("n", "n_top") >= percent * F.greatest("n", "n_top")
     pairs = members.where(F.col("id") != F.col("top")).select("top", "id", "n").distinct().join(tops, "top").where(close)
-    links = confirm(stored(pairs.select(F.col("top").alias("a"), F.col("id").alias("b")), "pairs"), docs, percent, words)
-    more = across_components(members, components(links), leaders, docs, percent, words, block)
-    roots = components(links.unionByName(more))
+    nodes = leaders.select("node", "doc_id", "text_hash")
+    links = confirm(stored(pairs.select(F.col("top").alias("a"), F.col("id").alias("b")), "pairs"), nodes, docs, percent, words)
+    near = components(links)
+    more = across_components(members, near, leaders, docs, percent, words, block)
+    # the stars found so far stand for their links
+    roots = components(near.select(F.col("vertex").alias("a"), F.col("root").alias("b")).unionByName(more))
 
-    named = sketch.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2", "n_shingles"], "left")
-    named = named.withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")))
-    named = named.join(roots, F.col("class_id") == F.col("vertex"), "left").withColumn("component_id", F.coalesce("root", "class_id"))
-    return named.select("doc_id", "n_shingles", "class_id", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    found = lowest_ids(classes, roots, "class_id", renamed).select(*keys, "class_id", F.col("lowest").alias("component_id"))
+    named = sketch.select("doc_id", "text_hash", *keys).join(found, keys, "left")
+    for name in ("class_id", "component_id"):  # sets without words stand alone
+        named = named.withColumn(name, F.when(F.col("doc_id").isNotNull(), F.coalesce(name, "doc_id")))
+    return named.select("doc_id", "text_hash", "n_shingles", "class_id", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def minhash_dedup(docs: DataFrame, **parameters) -> DataFrame:
-    """The documents that stay: one of each group, with all columns.  Among rows that repeat an id, those whose own text stays."""
-    # doc_id with its text's hash names a row; equal rows of one id and text stay or go together.
-    ids = near_duplicates(docs.select("doc_id", "text"), **parameters).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(ids, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """The documents that stay: one of each group, with all columns.  Rows are judged and removed by id and text."""
+    gone = near_duplicates(docs.select("doc_id", "text"), **parameters).where(~F.col("kept"))
+    gone = gone.select(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__hash")).distinct()
+    return docs.join(gone, (F.col("doc_id").cast("long") == F.col("__gone")) & (F.xxhash64("text") == F.col("__hash")), "left_anti")
