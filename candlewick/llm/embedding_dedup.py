@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from candlewick.llm.common import shuffle_partitions, stored
-from candlewick.llm.components import components
+from candlewick.llm.components import components, lowest_ids, with_nodes
 from candlewick.llm.tokens import rows_of
 
 COSINE = 0.95
@@ -184,10 +184,12 @@ def near_embeddings(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding)."""
     spark = vectors.sparkSession
     rows, classes = embedding_classes(vectors)
+    classes, renamed = with_nodes(classes, ["h1", "h2"], "rep")
     total = classes.count()
     k = min(MAX_CODE, max(16, int(total**0.5) + 1))
     kind = "<f8" if vectors.schema["embedding"].dataType.elementType == DoubleType() else "<f4"
     heads = classes.withColumnRenamed("rep", "vec_id").join(rows, ["h1", "h2", "vec_id"]).dropDuplicates(["h1", "h2"])
+    # from here on "rep" is a class's node: its smallest id, or a number of its own where classes share that
 
     def decode(batches) -> Iterator:
         import numpy as np
@@ -208,7 +210,7 @@ def near_embeddings(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
                     pa.schema([(n, pa.int64()) for n in ("h1", "h2", "rep", "weight")] + [("vector", pa.binary()), ("keys", pa.list_(pa.int64()))]),
                 )
 
-    coded = heads.select("h1", "h2", F.col("vec_id").alias("rep"), "weight", "embedding")
+    coded = heads.select("h1", "h2", F.col("node").alias("rep"), "weight", "embedding")
     coded = stored(coded.mapInArrow(decode, "h1 long, h2 long, rep long, weight long, vector binary, keys array<long>"), "embedding_filters")
 
     places = coded.select("h1", "h2", F.explode("keys").alias("key"))
@@ -258,11 +260,10 @@ def near_embeddings(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
         yield batch_of()
 
     found = stored(blocks.mapInArrow(compare, "a long, b long, n long"), "embedding_links")
-    counts = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
-    roots = components(found.select("a", "b"))
-    by_class = classes.join(counts, "rep", "left").join(roots, F.col("rep") == F.col("vertex"), "left")
-    by_class = by_class.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "rep").alias("root"))
-    linked = rows.select("vec_id", "h1", "h2").join(by_class, ["h1", "h2"]).select("vec_id", "n_links", F.col("root").alias("component_id"))
+    counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
+    by_class = lowest_ids(classes, components(found.select("a", "b")), "rep", renamed).join(counts, "node", "left")
+    by_class = by_class.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "lowest")
+    linked = rows.select("vec_id", "h1", "h2").join(by_class, ["h1", "h2"]).select("vec_id", "n_links", F.col("lowest").alias("component_id"))
     lone = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(~can_link())
     lone = lone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(lone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
