@@ -3,24 +3,30 @@
 Words are runs of letters and digits (ASCII punctuation and white space
 separate them, A-Z in lower case); shingles are five words with their counts.
 
-For every document, windows of an item's size that hold a shingle of any item
-are fingerprinted: a 64-bit SimHash from prefix sums over the shingles.  Items
-within ``RADIUS`` bits are found by a multi-index: the fingerprint is cut into
-``BLOCKS`` blocks, and two fingerprints within the radius differ by at most
+For every document, windows of an item's size that hold a shingle of an item of
+that size are fingerprinted: a 64-bit SimHash from prefix sums over the shingles.
+Items of the size within ``RADIUS`` bits are found by a multi-index: the fingerprint
+is cut into ``BLOCKS`` blocks, and two fingerprints within the radius differ by at most
 RADIUS / BLOCKS bits in one of them, so looking up each block with its near
 values finds all of them.  The exact weighted similarity of the shingle counts
 (sum of minima over sum of maxima) decides; the best window of each document
-and item is returned.  A window without any item's shingle has similarity zero,
-so it needs no fingerprint.
+and item is returned, the first of equally good ones.  A window without any item's
+shingle has similarity zero, so it needs no fingerprint.
 
 At similarity 0.75 the fingerprints of two equally long windows differ by 11
-bits on average with a deviation of 3, so a radius of 23 is four deviations
-wide.  At such a radius the blocks alone select little; the shingle test in
-front of them does.
+bits on average with a deviation of 3, so a radius of 23 is four deviations wide;
+``tests/llm`` measures the share of similar windows within it by item length (none of
+12,000 was missed, from 7 to 400 words).  At such a radius the blocks select
+little; item sizes and the shingle test in front of them do.
 
-Scale: the documents stay where they are read (no shuffle).  The benchmark is
-the query set; it is collected in blocks of at most ``MAX_BYTES`` of text, and
-each block passes over the documents.
+Memory: fingerprints come in slices of ``SLICE`` windows, from sums that are kept at
+the windows' ends alone; the shared counts of an item's windows come from one pass
+over the positions of its shingles.  Both are linear in text and item.
+
+Scale: the documents stay where they are read (no shuffle).  The benchmark is the query
+set: blocks of at most ``MAX_BYTES`` of text (or one longer item) are written to the
+shared folder, and each passes over the documents, read by the tasks; about 14 bytes
+of a worker's memory for each byte of a block.  The driver sees their number alone.
 
 Edge cases: a text without words leaks nothing, and an item without words is
 never found; items of fewer than five words are one shingle of their length;
@@ -29,18 +35,19 @@ repeated items and documents are each reported; a null id is reported as null.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.common import folder
+from candlewick.llm.shared_files import list_files, open_input
 from candlewick.llm.shingles import WORDS, HashArray, mix, ngram_hashes, text_batches, word_hashes
 
 SIMILARITY = 0.75
 BITS, BLOCKS, RADIUS = 64, 8, 23
-MAX_BYTES = 32_000_000
+MAX_BYTES, SLICE = 8_000_000, 20_000
 LEAK = "doc_id long, item_id long, start_word long, n_words long, similarity double"
 
 
@@ -48,10 +55,19 @@ def fingerprints(hashes, start, stop):
     """SimHash of the shingles ``start[i]`` .. ``stop[i] - 1`` for each i."""
     import numpy as np
 
-    bits = np.unpackbits(mix(hashes).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    sums = np.zeros((len(hashes) + 1, BITS), np.int32)
-    np.cumsum(bits.astype(np.int32) * 2 - 1, axis=0, out=sums[1:])
-    positive = sums[stop] - sums[start] > 0
+    places, which = np.unique(np.concatenate((start, stop)), return_inverse=True)
+    sums, total, done = np.empty((len(places), BITS), np.int32), np.zeros(BITS, np.int32), 0
+    low = int(places[0]) if len(places) else 0
+    for first in range(low, int(places[-1]) + 1 if len(places) else 0, SLICE):
+        last = min(first + SLICE, int(places[-1]) + 1)
+        # running sums before each shingle of the slice, and after its last one
+        bits = np.unpackbits(mix(hashes[first:last]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        running = np.zeros((last - first + 1, BITS), np.int32)
+        np.cumsum(bits.astype(np.int8) * np.int8(2) - np.int8(1), axis=0, dtype=np.int32, out=running[1 : len(bits) + 1])
+        here = int(np.searchsorted(places, last))
+        sums[done:here] = running[places[done:here] - first] + total
+        total, done = total + running[len(bits)], here
+    positive = sums[which[len(start) :]] - sums[which[: len(start)]] > 0
     return np.packbits(positive, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
@@ -95,54 +111,83 @@ class MultiIndex:
 class Benchmark:
     """The items of one shingle length, ready for search in a task."""
 
-    def __init__(self, items: list[tuple], words: int):
+    def __init__(self, ids: list, lists: list, words: int):
         import numpy as np
 
-        self.ids = [i for i, _ in items]
-        self.words, self.sizes = words, np.array([len(w) for _, w in items], np.int64)
-        lists = [ngram_hashes(w, words) for _, w in items]
-        self.counts = [Counter(x.tolist()) for x in lists]
-        sizes = np.array([len(x) for x in lists], np.int64)
-        every, ends = np.concatenate(lists), np.cumsum(sizes)
-        self.index = MultiIndex(fingerprints(every, ends - sizes, ends))
-        owner = np.repeat(np.arange(len(items)), sizes)
-        self.shingles, first = np.unique(every, return_inverse=True)
+        self.ids, self.words = ids, words
+        self.sizes = np.array([len(x) for x in lists], np.int64)  # in shingles
+        every, ends = np.concatenate(lists), np.cumsum(self.sizes)
+        self.first = ends - self.sizes
+        prints = fingerprints(every, self.first, ends)
+        # an index of the items of each size
+        self.items = {int(m): np.flatnonzero(self.sizes == m) for m in np.unique(self.sizes)}
+        self.index = {m: MultiIndex(prints[k]) for m, k in self.items.items()}
+        self.shingles, which = np.unique(every, return_inverse=True)
+        self.which = which.astype(np.int32)
         self.by_shingle = HashArray(self.shingles)
-        # For each shingle the sizes of the items that hold it.
-        self.item_sizes = [set() for _ in self.shingles]
-        for s, o in zip(first.tolist(), owner.tolist(), strict=True):
-            self.item_sizes[s].add(int(self.sizes[o]))
+        # the sizes of the items that hold each shingle
+        wide = int(self.sizes.max()) + 1
+        pairs = np.unique(which.astype(np.int64) * wide + np.repeat(self.sizes, self.sizes))
+        self.held_sizes = pairs % wide
+        self.held_first = np.searchsorted(pairs // wide, np.arange(len(self.shingles) + 1))
+
+    def windows(self, found) -> Iterator[tuple]:
+        """(item size, starts of the windows of that size that hold a shingle of such an item)."""
+        import numpy as np
 
-    def search(self, hashes, hits, hit_at) -> Iterator[tuple]:
-        """(item, start, size, similarity): the best window of each leaked item in a document's shingles."""
+        at = np.flatnonzero(found >= 0)
+        held, inverse = np.unique(found[at], return_inverse=True)
+        count = self.held_first[held + 1] - self.held_first[held]
+        of = np.repeat(np.arange(len(held)), count)
+        sizes = self.held_sizes[np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.held_first[held], count)]
+        for m in np.unique(sizes).tolist():
+            mine = np.zeros(len(held), bool)
+            mine[of[sizes == m]] = True
+            p = at[mine[inverse]]
+            edge = np.zeros(len(found) + 1, np.int64)
+            np.add.at(edge, np.maximum(p - m + 1, 0), 1)
+            np.add.at(edge, p + 1, -1)
+            yield m, np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+
+    def shared(self, k: int, found, start):
+        """For each start, the sum of minima of the counts of item ``k`` and of its window of the document."""
+        import numpy as np
+
+        m = int(self.sizes[k])
+        own, count = np.unique(self.which[self.first[k] : self.first[k] + m], return_counts=True)
+        at = np.flatnonzero(found >= 0)
+        slot = np.minimum(np.searchsorted(own, found[at]), len(own) - 1)
+        good = own[slot] == found[at]
+        at, slot = at[good], slot[good]
+        # an occurrence counts in windows that hold fewer than the item's count of the ones before it
+        order = np.argsort(slot, kind="stable")
+        p, c = at[order], count[slot[order]]
+        rank = np.arange(len(p)) - np.searchsorted(slot[order], slot[order])
+        earlier = np.where(rank >= c, p[np.maximum(np.arange(len(p)) - c, 0)], -1)
+        edge = np.zeros(len(found) + 1, np.int64)
+        np.add.at(edge, np.maximum(earlier + 1, p - m + 1), 1)
+        np.add.at(edge, p + 1, -1)
+        return np.cumsum(edge)[start]
+
+    def search(self, hashes, found) -> Iterator[tuple]:
+        """(item, start, words, similarity): the best window of each leaked item in a document's shingles."""
         import numpy as np
 
-        total = len(hashes) + self.words - 1  # words of the document
-        sizes: dict[int, list[int]] = {}
-        for s, p in zip(hits.tolist(), hit_at.tolist(), strict=True):
-            for n in self.item_sizes[s]:
-                sizes.setdefault(n, []).append(p)
-        starts, stops = [], []
-        for n, at in sizes.items():
-            at = np.array(at)
-            near = np.unique((at[:, None] - np.arange(n - self.words + 1)).ravel())
-            near = near[near >= 0]
-            starts.append(near)
-            stops.append(np.minimum(near + n, total) - self.words + 1)
-        start, stop = np.concatenate(starts), np.concatenate(stops)
-        low = int(start.min())
-        part = hashes[low : int(stop.max())]
-        rows, items = self.index.search(fingerprints(part, start - low, stop - low))
         best: dict[int, tuple] = {}
-        for r, k in zip(rows.tolist(), items.tolist(), strict=True):
-            a, b = int(start[r]), int(stop[r])
-            if b - a + self.words - 1 > self.sizes[k]:
-                continue  # a window of a larger item
-            window, item = Counter(hashes[a:b].tolist()), self.counts[k]
-            shared = sum(min(c, window[h]) for h, c in item.items() if h in window)
-            similarity = shared / (sum(item.values()) + (b - a) - shared)
-            if similarity >= SIMILARITY and (k not in best or similarity > best[k][2]):
-                best[k] = (a, b - a + self.words - 1, similarity)
+        for m, starts in self.windows(found):
+            group = starts // SLICE
+            for g in np.unique(group):
+                start = starts[group == g]
+                stop = np.minimum(start + m, len(hashes))
+                rows, near = self.index[m].search(fingerprints(hashes, start, stop))
+                for j in np.unique(near).tolist():
+                    k, mine = int(self.items[m][j]), rows[near == j]
+                    shared = self.shared(k, found, start[mine])
+                    size = stop[mine] - start[mine]
+                    similarity = shared / (m + size - shared)
+                    top = int(similarity.argmax())
+                    if similarity[top] >= SIMILARITY and (k not in best or similarity[top] > best[k][2]):
+                        best[k] = (int(start[mine[top]]), int(size[top]) + self.words - 1, float(similarity[top]))
         for k, (a, n, similarity) in sorted(best.items()):
             yield self.ids[k], a, n, similarity
 
@@ -150,12 +195,14 @@ class Benchmark:
 def prepare_items(rows: list[tuple]) -> list[Benchmark]:
     """One ``Benchmark`` for each shingle length that occurs."""
     words, first, _, _ = word_hashes([(t or "").encode() for _, t in rows], plain=True)
-    by_length: dict[int, list] = {}
+    by_length: dict[int, tuple[list, list]] = {}
     for k, (item, _) in enumerate(rows):
         own = words[first[k] : first[k + 1]]
         if len(own):
-            by_length.setdefault(min(WORDS, len(own)), []).append((item, own))
-    return [Benchmark(items, k) for k, items in sorted(by_length.items())]
+            ids, lists = by_length.setdefault(min(WORDS, len(own)), ([], []))
+            ids.append(item)
+            lists.append(ngram_hashes(own, min(WORDS, len(own))))
+    return [Benchmark(ids, lists, k) for k, (ids, lists) in sorted(by_length.items())]
 
 
 def find_leaks(texts: list[bytes], items: list[Benchmark]) -> Iterator[tuple]:
@@ -169,32 +216,44 @@ def find_leaks(texts: list[bytes], items: list[Benchmark]) -> Iterator[tuple]:
         at = np.flatnonzero(found >= 0)
         text = np.searchsorted(first, at, "right") - 1
         inside = at + group.words <= first[text + 1]  # not across two texts
-        at, text = at[inside], text[inside]
-        for k in np.unique(text):
-            own = at[text == k] if len(text) < 1000 else at[slice(*np.searchsorted(text, [k, k + 1]))]
-            hashes = runs[first[k] : first[k + 1] - group.words + 1]
-            for leak in group.search(hashes, found[own], own - first[k]):
-                yield (int(k), *leak)
+        for k in np.unique(text[inside]).tolist():
+            own = slice(int(first[k]), int(first[k + 1]) - group.words + 1)
+            for leak in group.search(runs[own], found[own]):
+                yield (k, *leak)
 
 
-def item_blocks(benchmark: DataFrame, max_bytes: int = MAX_BYTES) -> list[list[tuple]]:
-    """The benchmark on the driver, a block of bounded size at a time."""
+def item_blocks(benchmark: DataFrame, max_bytes: int = MAX_BYTES) -> list[str]:
+    """Folders with the benchmark's blocks, written by tasks; only their names come to the driver."""
+    spark = benchmark.sparkSession
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + size // max_bytes
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    for k in range(blocks):
-        yield [tuple(r) for r in rows.where(part == k).orderBy("item_id", "text").collect()]
+    path = folder(spark, "benchmark")
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).alias("block")
+    rows.select("item_id", "text", part).repartition("block").write.partitionBy("block").parquet(path)
+    return [f"{path}/block={k}" for k in range(blocks)]
+
+
+def read_block(path: str) -> list[tuple]:
+    import pyarrow.parquet as pq
+
+    rows = []
+    for file in list_files(path):
+        if file.endswith(".parquet"):
+            with open_input(file) as source:
+                found = pq.read_table(source)
+                rows += zip(found["item_id"].to_pylist(), found["text"].to_pylist(), strict=True)
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
     """One row per document and item that it holds (``LEAK``)."""
 
-    def over(block: list[tuple]):
+    def over(block: str):
         def run(batches) -> Iterator:
             import pyarrow as pa
 
-            items = prepare_items(block)
+            items = prepare_items(read_block(block))
             for texts, ids in text_batches(batches, "text", "doc_id"):
                 rows = [(ids[k], *leak) for k, *leak in find_leaks(texts, items)]
                 columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
@@ -210,11 +269,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_BY
     """The documents that hold no benchmark item, with their columns unchanged."""
     schema = docs.schema
 
-    def without(block: list[tuple]):
+    def without(block: str):
         def run(batches) -> Iterator:
             import pyarrow as pa
 
-            items = prepare_items(block)
+            items = prepare_items(read_block(block))
             for batch in batches:
                 start = 0
                 for (texts,) in text_batches([batch], "text"):

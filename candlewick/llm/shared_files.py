@@ -26,3 +26,12 @@ def open_output(uri: str):
 def open_input(uri: str):
     system, path = _place(uri)
     return system.open_input_file(path)
+
+
+def list_files(uri: str) -> list[str]:
+    """The URIs of the files of a folder, none where there is no folder."""
+    from pyarrow import fs
+
+    system, path = _place(uri)
+    found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return sorted(f"{uri.rstrip('/')}/{f.base_name}" for f in found if f.is_file)
