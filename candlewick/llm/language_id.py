@@ -6,9 +6,10 @@ for each order a sorted array of 64-bit n-gram hashes, a matrix with every
 language's log probability, and the same for the back-off weights of contexts.
 A text's language is the one with the lowest cross-entropy per character.
 
-Rejection is calibrated on documents kept out of the counts: a text is rejected
-if its cross-entropy exceeds its language's mean by more than any of them did,
-with a margin; short texts get a wider band, as their cross-entropy varies more.
+Rejection is calibrated for each language on documents kept out of the counts: a
+text is rejected if its cross-entropy exceeds the language's mean by more than the
+``QUANTILE`` of those documents' excess and ``MARGIN`` nats; a single odd document
+doesn't widen the band.  Short texts get a wider one, as their cross-entropy varies more.
 
 Bounds: the models are fitted on at most ``max_docs`` labelled documents of each
 language, chosen by a hash of ``doc_id``; every document is then scored whole.
@@ -35,7 +36,7 @@ from candlewick.llm.tokens import rows_of
 ORDER = 4
 MAX_DOCS = 600
 CALIBRATE_EVERY = 5  # one document in so many is kept from the counts, for the calibration
-MARGIN = 3.0
+QUANTILE, MARGIN = 0.98, 1.0
 SHORT = 200  # characters under which the rejection band widens
 MAX_MODEL_BYTES = 1 << 30
 UND = "und"
@@ -180,39 +181,33 @@ class Model:
     def cross_entropies(self, texts: list[str]):
         """(texts x languages) cross-entropies per character, and the characters counted.
 
-        Texts are taken together, and a very long one in parts, so that about ``size``
-        characters are held as arrays at once.
+        Texts are taken together up to ``size`` characters, and so many positions are
+        looked up at once; a longer text is one array of symbols and never cut.
         """
         import numpy as np
 
         size = min(400_000, max(20_000, 2_000_000 // len(self.languages)))
         sums, count = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
-        parts, owners, held = [], [], 0
+        first, held = 0, 0
         for k, text in enumerate(texts):
-            for start in range(0, len(text), size):
-                parts.append(text[start : start + size])
-                owners.append(k)
-                held += len(parts[-1])
-                if held >= size:
-                    self._add(parts, owners, sums, count)
-                    parts, owners, held = [], [], 0
-        self._add(parts, owners, sums, count)
+            held += len(text)
+            if held >= size or k + 1 == len(texts):
+                self._add(texts[first : k + 1], size, sums[first : k + 1], count[first : k + 1])
+                first, held = k + 1, 0
         return -sums / np.maximum(count, 1)[:, None], count
 
-    def _add(self, parts: list[str], owners: list[int], sums, count) -> None:
+    def _add(self, texts: list[str], at_once: int, sums, count) -> None:
         import numpy as np
 
-        if not parts:
-            return
-        stream, start, end = symbols(parts)
+        stream, start, end = symbols(texts)
         size = end - start
-        if not size.any():
-            return
-        rows = np.repeat(np.arange(len(parts)), size)
+        rows = np.repeat(np.arange(len(texts)), size)
         at = np.arange(len(rows)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
-        head = np.flatnonzero(np.diff(rows, prepend=-1))
-        np.add.at(sums, np.array(owners)[rows[head]], np.add.reduceat(self.log_probabilities(stream, at), head, axis=0, dtype=np.float64))
-        np.add.at(count, owners, size)
+        for k in range(0, len(rows), at_once):
+            here = rows[k : k + at_once]
+            head = np.flatnonzero(np.diff(here, prepend=-1))
+            sums[here[head]] += np.add.reduceat(self.log_probabilities(stream, at[k : k + at_once]), head, axis=0, dtype=np.float64)
+        count += size
 
     def predict(self, texts: list[str]) -> list[tuple]:
         """(language, score, cross-entropy, rejected) of each text."""
@@ -223,7 +218,7 @@ class Model:
         rows = np.arange(len(texts))
         lowest = entropy[rows, best]
         score = 1 / np.exp(np.clip(-(entropy - lowest[:, None]) * np.minimum(count, SHORT)[:, None], -700, 0)).sum(axis=1)
-        reject = self.excess(lowest, best, count) > self.band
+        reject = self.excess(lowest, best, count) > self.band[best]
         return [(self.languages[best[i]], float(score[i]), float(lowest[i]), bool(reject[i])) if count[i] else (UND, 0.0, None, True) for i in rows]
 
     def excess(self, lowest, best, count):
@@ -350,7 +345,7 @@ def gram_links(texts: list[str], model: list[dict]) -> list:
 
 
 def calibrate(model: Model, documents: list[tuple[int, str]]) -> None:
-    """Means by language and the widest excess over them, with a margin."""
+    """Means by language, and how far above them a text may be."""
     import numpy as np
 
     of = np.array([k for k, _ in documents], np.int64)
@@ -358,11 +353,13 @@ def calibrate(model: Model, documents: list[tuple[int, str]]) -> None:
     own = entropy[np.arange(len(of)), of]
     good = (count > 0) & (entropy.argmin(axis=1) == of) if len(of) else np.zeros(0, bool)
     all_mean = np.average(own[good], weights=count[good]) if good.any() else np.log(30.0)
+    model.band = np.full(len(model.languages), MARGIN)
     for k in range(len(model.languages)):
         mine = good & (of == k)
-        model.mean[k] = np.average(own[mine], weights=count[mine]) if mine.any() else all_mean
-    excess = model.excess(own[good], of[good], count[good])
-    model.band = MARGIN * max(float(excess.max()) if len(excess) else 0.0, 0.1)
+        model.mean[k] = np.median(own[mine]) if mine.any() else all_mean
+        if mine.any():
+            excess = model.excess(own[mine], of[mine], count[mine])
+            model.band[k] = MARGIN + max(0.0, float(np.quantile(excess, QUANTILE, method="lower")))
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
