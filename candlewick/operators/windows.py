@@ -50,7 +50,7 @@ def row_index(df: DataFrame, keys: list[str], chunk_rows: int, order: str = "bar
     offsets = counts.select(*keys, "_ts", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")).alias("_off"))
     local = Window.partitionBy(*keys, "_ts").orderBy(order)
     return (
-        sliced.join(offsets, [*keys, "_ts"], "inner")
+        sliced.hint("merge").join(offsets, [*keys, "_ts"], "inner")
         .withColumn("_g", F.col("_off") + F.row_number().over(local) - 1)
         .drop("_ts", "_off")
     )

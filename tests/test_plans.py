@@ -46,3 +46,20 @@ def test_halo_windows_partition_by_chunk_and_no_static_broadcast(spark):
     assert any("_part" in line for line in windows)
     assert all("_part" in line or "_ts" in line for line in windows)
     assert "BroadcastHashJoin" not in plan  # initial plan: only AQE may broadcast, from measured sizes
+
+
+def test_halo_windows_are_dealt_by_chunk_at_run_time(spark):
+    from candlewick import schemas
+    from candlewick.operators import windows as W
+    from pyspark.sql import functions as F
+
+    from helpers import bars_from_closes
+
+    bars = bars_from_closes(spark, [100.0 + (i % 7) for i in range(600)])
+    framed, layout = W.series_frame(bars, schemas.SERIES_KEYS, 128, 60, 60)
+    df = framed.withColumn("x", F.lead("close", 3).over(layout.window()))
+    df.collect()
+    final = _plan(df).split("Initial Plan")[0]
+    # AQE must not broadcast the bars to the offsets: their partitioning, one task per series, would serve every window
+    assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
+    assert any("Exchange hashpartitioning" in line and "_part" in line for line in final.split("\n"))
