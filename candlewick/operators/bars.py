@@ -12,18 +12,20 @@ bar_time).  Scale design:
   1000 values) and level 2 links consecutive seconds with a ``lag`` over at
   most ``interval_sec`` rows.  Every buffer is bounded by the interval, never
   by the data volume.
-* Book / open-interest / funding / liquidation bars are single partial+final
-  hash aggregations; ``min``/``max`` of (ts, value) structs replace
+* Book, liquidation, open-interest and funding bars are partial+final
+  aggregations; ``min``/``max`` of (ts, value) structs replace
   ``argMin``/``argMax`` (deterministic on ties, partial-aggregatable).
-* The dense grid is generated per (symbol, chunk of bars) with ``explode`` —
-  no cross join — and the as-of previous close is a chunked forward fill:
-  fill inside (symbol, chunk), carry the last close of each chunk over the
-  small chunk table, so no task ever owns a whole symbol history.
+* **No joins.**  ``time_bars`` brings the sources' rows together in one wide
+  tagged frame, dealt once by (symbol, chunk of bars); the bar aggregation, the
+  as-of fill and the quiet bars all use that partitioning.  Closes come into a
+  chunk from a small table with one row per chunk, so no task ever owns a whole
+  symbol history.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +43,9 @@ from candlewick.functions.exprs import (
 KEYS3 = ["exchange", "symbol", "bar_time"]
 # Bars per generation / forward-fill chunk (one day of minute bars).
 GRID_CHUNK_BARS = 1440
+DAY_SEC = 86400
+LIQ_SUMS = ["liq_buy_volume", "liq_sell_volume", "liq_buy_turnover", "liq_sell_turnover"]
+LAST_VALUES = ["open_interest_open", "open_interest_close", "funding_rate", "_has_oi", "_has_funding"]
 
 
 def _in_range(df: DataFrame, column: str, start, end) -> DataFrame:
@@ -115,11 +120,21 @@ def trade_bars(trades: DataFrame, interval_sec: int = 60, start=None, end=None)
     """BAR-1..8: OHLC, volumes, signed √$ volume, vwap, first/last ts, max gap."""
     schemas.validate_interval(interval_sec)
     secs = trade_seconds(trades, start, end).withColumn("bar_time", _bar_of_seconds(F.col("sec"), interval_sec))
-    w = Window.partitionBy(*KEYS3).orderBy("sec")
-    linked = secs.withColumn("gap_link", F.col("ms_min") - F.lag("ms_max").over(w))
-    # seconds are disjoint in time: the bar opens with its first second's open and
-    # closes with its last second's close (no ties on ``sec``, fixed-width buffers)
-    bars = linked.groupBy(*KEYS3).agg(
+    return _linked(secs, KEYS3).groupBy(*KEYS3).agg(*_second_sums()).select(*KEYS3, *_trade_columns())
+
+
+def _linked(secs: DataFrame, keys: list[str]) -> DataFrame:
+    """``gap_link``: from the last millisecond of the second before in the bar; rows without ``sec`` come first and link nothing."""
+    w = Window.partitionBy(*keys).orderBy("sec")
+    return secs.withColumn("gap_link", F.col("ms_min") - F.lag("ms_max").over(w))
+
+
+def _second_sums() -> list[Column]:
+    """Level 2: seconds are disjoint in time, so a bar opens with its first
+    second's open and closes with its last second's close (no ties on ``sec``,
+    fixed-width buffers)."""
+    zero = F.lit(0).cast("long")
+    return [
         F.min_by("o_price", "sec").alias("open"),
         F.max_by("c_price", "sec").alias("close"),
         F.max("hi").alias("high"),
@@ -134,29 +149,22 @@ def trade_bars(trades: DataFrame, interval_sec: int = 60, start=None, end=None)
         (F.coalesce(F.sum("bsq"), F.lit(0.0)) - F.coalesce(F.sum("ssq"), F.lit(0.0))).alias("signed_sqrt_dollar_volume"),
         F.min("first_ts").alias("first_trade_ts"),
         F.max("last_ts").alias("last_trade_ts"),
-        F.max(F.greatest(F.col("gap_in"), F.coalesce(F.col("gap_link"), F.lit(0).cast("long")))).alias("max_trade_gap_ms"),
-    )
-    return bars.select(
-        *KEYS3,
-        "open",
-        "high",
-        "low",
-        "close",
-        "volume",
-        "turnover",
-        "trade_count",
-        "buy_volume",
-        "sell_volume",
-        "buy_turnover",
-        "sell_turnover",
-        "signed_sqrt_dollar_volume",
+        F.max(F.greatest(F.col("gap_in"), F.coalesce(F.col("gap_link"), zero))).alias("max_trade_gap_ms"),
+    ]
+
+
+def _trade_columns() -> list[Column]:
+    plain = ["open", "high", "low", "close", "volume", "turnover", "trade_count", "buy_volume", "sell_volume", "buy_turnover", "sell_turnover"]
+    return [
+        *[F.col(c) for c in plain],
+        F.col("signed_sqrt_dollar_volume"),
         ratio("turnover", "volume").alias("vwap"),
         F.lit(0).cast("long").alias("large_trade_count"),
         F.lit(0.0).alias("large_trade_volume"),
         F.date_trunc("millisecond", "first_trade_ts").alias("first_trade_ts"),
         F.date_trunc("millisecond", "last_trade_ts").alias("last_trade_ts"),
-        "max_trade_gap_ms",
-    )
+        F.col("max_trade_gap_ms"),
+    ]
 
 
 def trade_gaps(trades: DataFrame, interval_sec: int = 60, start=None, end=None) -> DataFrame:
@@ -211,24 +219,33 @@ def _bucketed(df: DataFrame, interval_sec: int, start, end) -> DataFrame:
     return _in_range(df, "timestamp", start, end).withColumn("bar_time", bucket_start(F.col("timestamp"), interval_sec))
 
 
+def _book_rows(book: DataFrame, interval_sec: int, start, end) -> DataFrame:
+    one = F.element_at
+    return _bucketed(book, interval_sec, start, end).select(
+        *KEYS3,
+        F.lit(1).alias("_book"),
+        F.col("spread_bps").alias("avg_spread_bps"),
+        F.col("mid_price").alias("avg_mid_price"),
+        F.col("microprice").alias("avg_microprice"),
+        one("bid_sz", 1).alias("avg_bid1_size"),
+        one("ask_sz", 1).alias("avg_ask1_size"),
+        F.col("bid_depth_5").alias("avg_top5_bid_depth"),
+        F.col("ask_depth_5").alias("avg_top5_ask_depth"),
+        F.col("bid_depth_10").alias("avg_top10_bid_depth"),
+        F.col("ask_depth_10").alias("avg_top10_ask_depth"),
+        F.col("imbalance_top1").alias("avg_imbalance_top1"),
+        F.col("imbalance_top5").alias("avg_imbalance_top5"),
+        F.col("imbalance_top10").alias("avg_imbalance_top10"),
+    )
+
+
+def _book_means() -> list[Column]:
+    return [F.count("_book").alias("ob_snapshot_count"), *[F.avg(c).alias(c) for c in schemas.BOOK_MEAN_COLUMNS]]
+
+
 def book_bars(book: DataFrame, interval_sec: int = 60, start=None, end=None) -> DataFrame:
     """BAR-9: snapshot count and plain means of the book statistics."""
-    b = _bucketed(book, interval_sec, start, end)
-    return b.groupBy(*KEYS3).agg(
-        F.count(F.lit(1)).alias("ob_snapshot_count"),
-        F.avg("spread_bps").alias("avg_spread_bps"),
-        F.avg("mid_price").alias("avg_mid_price"),
-        F.avg("microprice").alias("avg_microprice"),
-        F.avg(F.element_at("bid_sz", 1)).alias("avg_bid1_size"),
-        F.avg(F.element_at("ask_sz", 1)).alias("avg_ask1_size"),
-        F.avg("bid_depth_5").alias("avg_top5_bid_depth"),
-        F.avg("ask_depth_5").alias("avg_top5_ask_depth"),
-        F.avg("bid_depth_10").alias("avg_top10_bid_depth"),
-        F.avg("ask_depth_10").alias("avg_top10_ask_depth"),
-        F.avg("imbalance_top1").alias("avg_imbalance_top1"),
-        F.avg("imbalance_top5").alias("avg_imbalance_top5"),
-        F.avg("imbalance_top10").alias("avg_imbalance_top10"),
-    )
+    return _book_rows(book, interval_sec, start, end).groupBy(*KEYS3).agg(*_book_means())
 
 
 def oi_bars(oi: DataFrame, interval_sec: int = 60, start=None, end=None) -> DataFrame:
@@ -248,18 +265,42 @@ def funding_bars(funding: DataFrame, interval_sec: int = 60, start=None, end=Non
     return agg.select(*KEYS3, F.col("l.rate").alias("funding_rate"))
 
 
-def liquidation_bars(liq: DataFrame, interval_sec: int = 60, start=None, end=None) -> DataFrame:
-    """BAR-12: liquidation volume / turnover by side and count."""
-    q = _bucketed(liq, interval_sec, start, end)
+def _liquidation_rows(liq: DataFrame, interval_sec: int, start, end) -> DataFrame:
     buy = F.col("side") == "buy"
     sell = F.col("side") == "sell"
     px_q = F.col("price") * F.col("quantity")
-    return q.groupBy(*KEYS3).agg(
-        F.coalesce(F.sum(F.when(buy, F.col("quantity"))), F.lit(0.0)).alias("liq_buy_volume"),
-        F.coalesce(F.sum(F.when(sell, F.col("quantity"))), F.lit(0.0)).alias("liq_sell_volume"),
-        F.coalesce(F.sum(F.when(buy, px_q)), F.lit(0.0)).alias("liq_buy_turnover"),
-        F.coalesce(F.sum(F.when(sell, px_q)), F.lit(0.0)).alias("liq_sell_turnover"),
-        F.count(F.lit(1)).alias("liq_count"),
+    return _bucketed(liq, interval_sec, start, end).select(
+        *KEYS3,
+        F.lit(1).alias("_liq"),
+        F.when(buy, F.col("quantity")).alias("liq_buy_volume"),
+        F.when(sell, F.col("quantity")).alias("liq_sell_volume"),
+        F.when(buy, px_q).alias("liq_buy_turnover"),
+        F.when(sell, px_q).alias("liq_sell_turnover"),
+    )
+
+
+def _liquidation_sums() -> list[Column]:
+    return [*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in LIQ_SUMS], F.count("_liq").alias("liq_count")]
+
+
+def liquidation_bars(liq: DataFrame, interval_sec: int = 60, start=None, end=None) -> DataFrame:
+    """BAR-12: liquidation volume / turnover by side and count."""
+    return _liquidation_rows(liq, interval_sec, start, end).groupBy(*KEYS3).agg(*_liquidation_sums())
+
+
+def _last_values(oi: DataFrame, funding: DataFrame, interval_sec: int, start, end) -> DataFrame:
+    """BAR-10 and BAR-11 in one aggregation, with marks of the sources that a bar has."""
+    o = _bucketed(oi, interval_sec, start, end).select(*KEYS3, F.struct("timestamp", "open_interest").alias("oi"))
+    f = _bucketed(funding, interval_sec, start, end).select(*KEYS3, F.struct("timestamp", "rate").alias("rate"))
+    agg = o.unionByName(f, allowMissingColumns=True).groupBy(*KEYS3).agg(F.min("oi").alias("f"), F.max("oi").alias("l"), F.max("rate").alias("r"))
+    mark = lambda c: F.when(F.col(c).isNotNull(), F.lit(1))
+    return agg.select(
+        *KEYS3,
+        F.col("f.open_interest").alias("open_interest_open"),
+        F.col("l.open_interest").alias("open_interest_close"),
+        F.col("r.rate").alias("funding_rate"),
+        mark("l").alias("_has_oi"),
+        mark("r").alias("_has_funding"),
     )
 
 
@@ -322,10 +363,7 @@ def forward_fill(df: DataFrame, value: str, out: str, partition: list[str], chun
     )
 
 
-def _assemble(base: DataFrame, b: DataFrame, oi: DataFrame, f: DataFrame, lq: DataFrame, grid_mode: bool, interval_sec: int) -> DataFrame:
-    j = base
-    for side in (b, oi.withColumn("_has_oi", F.lit(1)), f.withColumn("_has_funding", F.lit(1)), lq):
-        j = j.join(side, KEYS3, "left")
+def _assemble(j: DataFrame, grid_mode: bool, interval_sec: int) -> DataFrame:
     z = F.lit(0.0)
     zl = F.lit(0).cast("long")
     if grid_mode:
@@ -371,12 +409,35 @@ def _assemble(base: DataFrame, b: DataFrame, oi: DataFrame, f: DataFrame, lq: Da
     return schemas.conform(out, schemas.BARS)
 
 
+def _tagged(raw: dict[str, DataFrame], interval_sec: int, start, end) -> DataFrame:
+    """All sources in one wide frame: a row per second of trades, and up to two per bar of the other sources, whose ``sec`` is null."""
+    secs = trade_seconds(raw["trades"], start, end).withColumn("bar_time", _bar_of_seconds(F.col("sec"), interval_sec))
+    book = _book_rows(raw["book"], interval_sec, start, end)
+    flows = book.unionByName(_liquidation_rows(raw["liquidations"], interval_sec, start, end), allowMissingColumns=True)
+    flows = flows.groupBy(*KEYS3).agg(*_book_means(), *_liquidation_sums())
+    values = _last_values(raw["open_interest"], raw["funding"], interval_sec, start, end)
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), (secs, flows, values))
+
+
+def _carried(trades: DataFrame, chunk: Column, n_chunks: int, start, end, seed: DataFrame | None) -> DataFrame:
+    """(exchange, symbol, _chunk, _carry): the last close before each chunk, for all chunks behind a symbol's first trade or seed."""
+    t = _in_range(trades, "timestamp", start, end).where(F.col("price").isNotNull())
+    t = t.select("exchange", "symbol", chunk.alias("_chunk"), F.struct("timestamp", "trade_id", "price").alias("t"))
+    tails = t.groupBy("exchange", "symbol", "_chunk").agg(F.max("t").alias("t")).select("exchange", "symbol", "_chunk", F.col("t.price").alias("_carry"))
+    if seed is not None:
+        tails = tails.unionByName(seed.select("exchange", "symbol", F.lit(-1).cast("long").alias("_chunk"), F.col("close").alias("_carry")))
+    last = F.lit(n_chunks - 1).cast("long")
+    tails = tails.withColumn("_to", F.least(F.lead("_chunk", 1, n_chunks - 1).over(Window.partitionBy("exchange", "symbol").orderBy("_chunk")), last))
+    behind = F.when(F.col("_to") > F.col("_chunk"), F.sequence(F.col("_chunk") + 1, F.col("_to")))
+    return tails.select("exchange", "symbol", F.explode(behind).alias("_chunk"), "_carry")
+
+
 def time_bars(
     raw: dict[str, DataFrame],
     interval_sec: int = 60,
     start=None,
     end=None,
-    chunk_bars: int = GRID_CHUNK_BARS,
+    chunk_bars: int | None = None,
     seed: DataFrame | None = None,
 ) -> DataFrame:
     """BAR-15 (both bounds: dense grid, as-of filled) / BAR-16 (otherwise: sparse).
@@ -385,26 +446,45 @@ def time_bars(
     to raw frames.  Every source is filtered to [start, end) before bucketing.
     ``seed`` (exchange, symbol, close) holds closes from before the grid: such a
     symbol has bars from ``start`` on, with or without a trade in the range.
+
+    The tagged frame is dealt once by (symbol, chunk); a chunk (``chunk_bars``,
+    by default a day) bounds what lies in one group.  A grid's chunks each get a
+    first row with the close carried in, so a chunk fills itself; the bars up to
+    a symbol's next row are generated from that row.
     """
     schemas.validate_interval(interval_sec)
-    t = trade_bars(raw["trades"], interval_sec, start, end)
-    b = book_bars(raw["book"], interval_sec, start, end)
-    oi = oi_bars(raw["open_interest"], interval_sec, start, end)
-    f = funding_bars(raw["funding"], interval_sec, start, end)
-    lq = liquidation_bars(raw["liquidations"], interval_sec, start, end)
-    if not (start and end):
-        return _assemble(t, b, oi, f, lq, grid_mode=False, interval_sec=interval_sec)
-
-    symbols = _in_range(raw["trades"], "timestamp", start, end).select("exchange", "symbol")
-    if seed is not None:
-        symbols = symbols.unionByName(seed.select("exchange", "symbol"))
-    symbols = symbols.distinct()
-    grid = time_grid(symbols, start, end, interval_sec, chunk_bars)
-    g = grid.join(t, KEYS3, "left")
-    g = forward_fill(g, "close", "prev_close", ["exchange", "symbol"], "_chunk", "bar_time")
-    if seed is not None:
-        before = seed.select("exchange", "symbol", F.col("close").alias("_seed"))
-        g = g.join(before, ["exchange", "symbol"], "left").withColumn("prev_close", F.coalesce("prev_close", "_seed")).drop("_seed")
+    grid_mode = bool(start and end)
+    chunk_bars = chunk_bars or max(1, DAY_SEC // interval_sec)
+    first, bar_count = _aligned_grid_bounds(start, end, interval_sec) if grid_mode else (0, 0)
+    rows = _tagged(raw, interval_sec, start, end)
+    chunk_of = lambda sec: F.floor((sec - F.lit(first)) / F.lit(chunk_bars * interval_sec)).cast("long")
+    rows = rows.withColumn("_chunk", chunk_of(F.unix_seconds("bar_time")))
+    at = lambda bar: F.timestamp_seconds(F.lit(first).cast("long") + bar * F.lit(int(interval_sec)))
+    if grid_mode:
+        n_chunks = (bar_count + chunk_bars - 1) // chunk_bars
+        heads = _carried(raw["trades"], chunk_of(_epoch_seconds(F.col("timestamp"))), n_chunks, start, end, seed)
+        heads = heads.withColumn("bar_time", at(F.col("_chunk") * chunk_bars))
+        rows = rows.where(F.col("bar_time") < at(F.lit(bar_count).cast("long"))).unionByName(heads, allowMissingColumns=True)
+    keys = ["exchange", "symbol", "_chunk", "bar_time"]
+    rows = _linked(rows.repartition("exchange", "symbol", "_chunk"), keys)
+    others = ["ob_snapshot_count", *schemas.BOOK_MEAN_COLUMNS, *LIQ_SUMS, "liq_count", *LAST_VALUES]
+    carry = [F.max("_carry").alias("_carry")] if grid_mode else []
+    bars = rows.groupBy(*keys).agg(*_second_sums(), *[F.max(c).alias(c) for c in others], *carry)
+    bars = bars.select(*keys, *_trade_columns(), *others, *(["_carry"] if grid_mode else []))
+    traded = F.coalesce(F.col("trade_count"), F.lit(0).cast("long")) > 0
+    if not grid_mode:
+        return _assemble(bars.where(traded), grid_mode=False, interval_sec=interval_sec)
+
     # BAR-14: the as-of close includes the bar itself; drop bars before the first trade
-    g = g.filter((F.coalesce(F.col("trade_count"), F.lit(0).cast("long")) > 0) | F.col("prev_close").isNotNull()).drop("_chunk")
-    return _assemble(g, b, oi, f, lq, grid_mode=True, interval_sec=interval_sec)
+    w = Window.partitionBy("exchange", "symbol", "_chunk").orderBy("bar_time")
+    filled = F.last(F.coalesce("close", "_carry"), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    stop = F.least((F.col("_chunk") + 1) * chunk_bars, F.lit(bar_count).cast("long"))
+    g = bars.withColumn("_bar", ((F.unix_seconds("bar_time") - F.lit(first)) / F.lit(int(interval_sec))).cast("long"))
+    g = g.withColumn("prev_close", filled).withColumn("_stop", F.coalesce(F.lead("_bar").over(w), stop))
+    g = g.where(traded | F.col("prev_close").isNotNull())
+    quiet = F.when(F.col("prev_close").isNotNull(), F.col("_stop") - 1).otherwise(F.col("_bar"))
+    g = g.withColumn("_k", F.explode(F.sequence(F.col("_bar"), quiet)))
+    own = F.col("_k") == F.col("_bar")
+    data = [c for c in bars.columns if c not in (*keys, "_carry")]
+    g = g.select("exchange", "symbol", at(F.col("_k")).alias("bar_time"), "prev_close", *[F.when(own, F.col(c)).alias(c) for c in data])
+    return _assemble(g, grid_mode=True, interval_sec=interval_sec)

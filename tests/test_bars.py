@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from candlewick.operators import bars as B
 
-from helpers import collect_sorted, raw_with_trades, trades
+from candlewick import schemas
+
+from helpers import collect_sorted, raw_with_trades, trades, ts
 
 
 def _t(spark):
@@ -95,3 +97,34 @@ def test_gap_ties_only_first_of_timestamp_links(spark):
     g = {r["trade_id"]: r["gap_ms"] for r in B.trade_gaps(t, 60).collect()}
     assert g == {"b": 0, "c": 4000, "d": 0, "e": 0}
     assert B.trade_bars(t, 60).first()["max_trade_gap_ms"] == 4000
+
+
+def test_grid_with_seeds_chunks_and_an_open_last_bar(spark):
+    t = trades(
+        spark,
+        [
+            ("2026-03-02T00:03:10", "A", "buy", 100, 1, "1"),
+            ("2026-03-02T00:09:20", "A", "buy", 120, 1, "2"),  # lies in the last bar, which the range cuts
+        ],
+    )
+    seed = spark.createDataFrame([("X", "A", 90.0), ("X", "Q", 7.0)], "exchange string, symbol string, close double")
+    row = {f.name: 1.0 for f in schemas.RAW_BOOK_TOPK.fields if f.dataType.simpleString() == "double"}
+    row |= {f.name: [1.0] for f in schemas.RAW_BOOK_TOPK.fields if f.dataType.simpleString() == "array<double>"}
+    row |= {"timestamp": ts("2026-03-02T00:01:30"), "receipt_ts": ts("2026-03-02T00:01:30"), "exchange": "X", "mid_price": 5.0}
+    book = spark.createDataFrame([{**row, "symbol": s} for s in ("A", "N")], schemas.RAW_BOOK_TOPK)
+    raw = {**raw_with_trades(spark, t), "book": book}
+    for chunk_bars in (None, 2):
+        out = collect_sorted(B.time_bars(raw, 60, "2026-03-02T00:00:00Z", "2026-03-02T00:09:30Z", chunk_bars=chunk_bars, seed=seed), "symbol", "bar_time")
+        # N has a book but neither trade nor seed: no bars
+        assert [(r["symbol"], r["bar_time"].minute) for r in out] == [(s, m) for s in "AQ" for m in range(9)]
+        assert [r["close"] for r in out] == [90.0] * 3 + [100.0] * 6 + [7.0] * 9
+        assert [r["has_book_data"] for r in out] == [0, 1] + [0] * 16
+        assert out[1]["avg_mid_price"] == 5.0 and out[1]["avg_bid1_size"] == 1.0 and out[2]["avg_mid_price"] == 0.0
+        assert [r["trade_count"] for r in out] == [0, 0, 0, 1] + [0] * 14
+
+
+def test_bars_without_any_rows(spark):
+    raw = raw_with_trades(spark, trades(spark, []))
+    assert B.time_bars(raw, 60).count() == 0
+    assert B.time_bars(raw, 60, "2026-03-02T00:00:00Z", "2026-03-02T00:05:00Z").count() == 0
+    assert B.time_bars(raw_with_trades(spark, _t(spark)), 60, "2026-03-02T00:01:00Z", "2026-03-02T00:01:30Z").count() == 0

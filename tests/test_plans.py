@@ -63,3 +63,15 @@ def test_halo_windows_are_dealt_by_chunk_at_run_time(spark):
     # AQE must not broadcast the bars to the offsets: their partitioning, one task per series, would serve every window
     assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
     assert any("Exchange hashpartitioning" in line and "_part" in line for line in final.split("\n"))
+
+
+def test_grid_bars_have_no_join_and_at_most_six_exchanges(spark):
+    ev = fixtures.read_table(spark, SF_SMALL, "events")
+    s, e = fixtures.data_range(ev)
+    plan = _plan(B.time_bars(fixtures.raw_frames(ev), 60, s, e))
+    nodes = plan.split("\n")
+    assert not any("Join" in n for n in nodes)
+    assert sum("Exchange " in n for n in nodes) <= 6
+    # fills and links lie inside (symbol, chunk); only the table of chunk closes is ordered by symbol
+    windows = [n for n in nodes if "Window [" in n]
+    assert len(windows) >= 3 and all("_chunk" in n for n in windows)
