@@ -21,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import threading
 import uuid
-from datetime import timedelta, timezone
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,16 +29,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlewick import schemas
-from candlewick.functions.exprs import EPOCH, epoch_millis, ratio
+from candlewick.functions.exprs import EPOCH, bucket_start, epoch_millis, ratio
 from candlewick.operators.bars import time_bars
+from candlewick.operators.features import LOOKBACK_BARS
 from candlewick.operators.labels import LOOKFORWARD_BARS
 from candlewick.plans.commits import ENTRIES
 from candlewick.plans.incremental import LAYERS, Step, layer_frame
 from candlewick.plans.sinks import RAW_TABLES, Store, last_closes, log_of, newest_times, read_layer, write_layer
+from candlewick.session import shared_path
 from candlewick.sources import fixtures
 from candlewick.sources.normalize import NORMALIZERS
 
 DEFAULT_SAFETY_LAG = "120 seconds"
+SYMBOL = ["exchange", "symbol"]
+# Touched days further apart than this are repaired one after another.
+REPAIR_GAP_DAYS = 7
 
 EVENTS_SCHEMA = T.StructType(
     [
@@ -217,42 +222,95 @@ def land_rows(rows: DataFrame, store: Store, channel: str, checkpoint: str) -> N
     query.awaitTermination()
 
 
+def _runs(days: list, gap: int = REPAIR_GAP_DAYS) -> list[tuple]:
+    """(first, last) of the stretches of days without a gap of more than ``gap`` days."""
+    runs: list[list] = []
+    for day in sorted(days):
+        if runs and (day - runs[-1][1]).days <= gap:
+            runs[-1][1] = day
+        else:
+            runs.append([day, day])
+    return [tuple(r) for r in runs]
+
+
+def _next_trades(spark: SparkSession, store: Store, touched: DataFrame, after: datetime, newest: datetime | None, folder: str) -> DataFrame:
+    """(exchange, symbol, until): the first stored bar with a trade behind a symbol's last touched bar ``last``, or ``bound`` if that is earlier.
+
+    The bars are searched forward in ever wider ranges, so a read ends soon after the
+    last of the next trades; only symbols without one are searched to the end.
+    """
+    base, found, days = schemas.BASE_INTERVAL, [], 1
+    after += timedelta(seconds=base)
+    while newest is not None and after <= newest:
+        stop = after + timedelta(days=days)
+        bars = read_layer(spark, store, LAYERS["sample"], start=after, end=stop, interval_sec=base).where(F.col("trade_count") > 0)
+        hits = bars.join(touched, SYMBOL).where(F.col("bar_time") > F.col("last")).groupBy(*SYMBOL).agg(F.least(F.min("bar_time"), F.min("bound")).alias("until"))
+        hits.write.parquet(f"{folder}/found_{len(found)}")
+        found.append(spark.read.parquet(f"{folder}/found_{len(found)}"))
+        touched = touched.join(found[-1].select(*SYMBOL), SYMBOL, "left_anti")
+        if touched.isEmpty():
+            break
+        after, days = stop, days * 8
+    rest = touched.select(*SYMBOL, F.col("bound").alias("until"))
+    reduce(DataFrame.unionByName, found, rest).write.parquet(f"{folder}/until")
+    return spark.read.parquet(f"{folder}/until")
+
+
 def repair_touched(spark: SparkSession, store: Store, rows: DataFrame, intervals=()) -> None:
     """STR-3: rebuild what late rows (exchange, symbol, timestamp) touch, from all five raw channels.
 
-    The range goes from the day of the first touched bar to the newest bar that is
-    stored or touched, since a late trade changes the closes that later bars carry.
-    Only the touched symbols are rebuilt, and only the range's day partitions are
-    read.  Rollups of ``intervals``, and their features and labels with the bars
-    that look back or forward into the range, follow.
+    A late trade changes the closes that later bars carry, up to the symbol's next
+    trade and no further; so a touched symbol's bars are rebuilt from the day of its
+    first touched bar to that trade.  Touched days far apart are repaired one stretch
+    after another, and only a stretch's day partitions are read.  Rollups of
+    ``intervals`` follow, and their features and labels with the bars that look back
+    or forward into the stretch.
     """
-    base = schemas.BASE_INTERVAL
-    ends = rows.agg(F.min("timestamp"), F.max("timestamp"), F.collect_set(F.struct("exchange", "symbol"))).first()  # at most all symbols
-    if ends[0] is None:
+    base = timedelta(seconds=schemas.BASE_INTERVAL)
+    folder = shared_path(spark, "repair", unique=True)
+    marks = rows.groupBy(*SYMBOL, F.to_date("timestamp").alias("day")).agg(F.max(bucket_start(F.col("timestamp"), schemas.BASE_INTERVAL)).alias("last"))
+    marks.write.parquet(f"{folder}/marks")
+    marks = spark.read.parquet(f"{folder}/marks")
+    days = marks.groupBy("day").agg(F.max("last").alias("last")).collect()  # a row for each touched day
+    if not days:
         return
     utc = lambda t: t.replace(tzinfo=timezone.utc) if t.tzinfo is None else t
-    start = utc(ends[0]).replace(hour=0, minute=0, second=0, microsecond=0)
-    stored = newest_times(spark, store, "sample.bars_time").filter(F.col("bar_interval_sec") == base).agg(F.max("newest")).first()[0]
-    newest = max(utc(t) for t in (ends[1], stored) if t is not None)
-    seconds = int((newest - EPOCH).total_seconds()) // base * base + base
-    end = EPOCH + timedelta(seconds=seconds)
+    stored = newest_times(spark, store, LAYERS["sample"]).filter(F.col("bar_interval_sec") == schemas.BASE_INTERVAL).agg(F.max("newest")).first()[0]
+    stored = None if stored is None else utc(stored)
+    end = max([utc(d["last"]) for d in days] + ([] if stored is None else [stored])) + base
+    for number, (first, last) in enumerate(_runs([d["day"] for d in days])):
+        touched = marks.where(F.col("day").between(F.lit(first), F.lit(last))).groupBy(*SYMBOL).agg(F.max("last").alias("last"))
+        oldest = utc(touched.agg(F.min("last")).first()[0])
+        # a symbol's next stretch goes on from its own day
+        later = marks.where(F.col("day") > F.lit(last)).groupBy(*SYMBOL).agg(F.min("day").cast("timestamp").alias("later"))
+        touched = touched.join(later, SYMBOL, "left").select(*SYMBOL, "last", F.coalesce("later", F.lit(end)).alias("bound"))
+        until = _next_trades(spark, store, touched, oldest, stored, f"{folder}/{number}")
+        start = datetime.combine(first, datetime.min.time(), tzinfo=timezone.utc)
+        _repair_stretch(spark, store, until, start, utc(until.agg(F.max("until")).first()[0]), intervals)
+
+
+def _repair_stretch(spark: SparkSession, store: Store, until: DataFrame, start: datetime, end: datetime, intervals) -> None:
+    base = schemas.BASE_INTERVAL
 
     def touched(frame: DataFrame) -> DataFrame:
-        keep = F.lit(False)
-        for r in ends[2]:
-            keep = keep | ((F.col("exchange") == r["exchange"]) & (F.col("symbol") == r["symbol"]))
-        return frame.filter(keep)
+        return frame.join(until, SYMBOL, "left_semi")
+
+    def write(frame: DataFrame, layer: str, seconds: int = 0) -> None:
+        bound = F.timestamp_seconds(F.unix_seconds("until") + seconds)
+        write_layer(frame.join(until, SYMBOL).where(F.col("bar_time") < bound).drop("until"), store, LAYERS[layer])
 
     raw = {c: touched(read_layer(spark, store, name, start=start, end=end)) for c, name in RAW_TABLES.items()}
-    bars = time_bars(raw, base, start, end, seed=touched(last_closes(spark, store, start)))
-    write_layer(bars, store, "sample.bars_time")
-    for i in sorted(set(intervals) - {base}):
-        first = EPOCH + timedelta(seconds=int((start - EPOCH).total_seconds()) // i * i)
-        write_layer(touched(layer_frame(spark, store, raw, Step("sample", i, first, end))), store, "sample.bars_time")
+    write(time_bars(raw, base, start, end, seed=touched(last_closes(spark, store, start))), "sample")
     for i in sorted(set(intervals)):
-        before = start - timedelta(seconds=LOOKFORWARD_BARS * i)
+        floor = lambda t, up=0, i=i: EPOCH + timedelta(seconds=(int((t - EPOCH).total_seconds()) + up) // i * i)
+        first, stop = floor(start), floor(end, i - 1)
+        if i != base:
+            write(layer_frame(spark, store, raw, Step("sample", i, first, stop)), "sample")
+        # features look back and labels use past volatility: bars behind the stretch change too
+        behind = max(LOOKBACK_BARS, LOOKFORWARD_BARS) * i
         for layer in ("feature", "label"):
-            write_layer(touched(layer_frame(spark, store, raw, Step(layer, i, before, end))), store, LAYERS[layer])
+            step = Step(layer, i, first - timedelta(seconds=LOOKFORWARD_BARS * i), stop + timedelta(seconds=behind))
+            write(layer_frame(spark, store, raw, step), layer, behind)
 
 
 def stream_late_repair(spark: SparkSession, store: Store, checkpoint: str, intervals=(), max_files: int | None = None) -> None:

@@ -382,3 +382,38 @@ def test_retention_drops_old_day_partitions(spark):
     assert dropped and kept.count() > 0
     # partition drop keeps whole days: every row the row-level filter keeps is still there
     assert expect.exceptAll(kept).count() == 0
+
+
+def test_late_repair_ends_at_the_next_trade(spark):
+    """A late row writes no bar behind its symbol's next trade, and all layers equal a batch run."""
+    from candlewick.operators import bars as B
+    from candlewick.operators.features import time_bar_features
+    from candlewick.operators.labels import time_bar_labels
+    from candlewick.operators.rollup import rollup_bars
+    from candlewick.streaming import bars as STR
+    from helpers import raw_with_trades, trades
+
+    early = [("2026-03-02T00:00:10", "A", "buy", 100, 1, "1"), ("2026-03-02T00:05:20", "A", "sell", 105, 2, "2"), ("2026-03-16T00:04:00", "A", "buy", 110, 1, "3")]
+    early += [("2026-03-02T00:01:00", "B", "buy", 50, 1, "4"), ("2026-03-16T00:02:00", "B", "buy", 51, 1, "5")]
+    late = [("2026-03-02T00:02:30", "A", "buy", 101, 3, "6"), ("2026-03-16T00:03:00", "B", "sell", 52, 1, "7")]
+    store = SNK.Store(shared_path(spark, "test_repair", unique=True))
+    span = "2026-03-02T00:00:00Z", "2026-03-16T00:05:00Z"
+
+    def layers(rows):
+        grid = B.time_bars(raw_with_trades(spark, trades(spark, rows)), 60, *span)
+        hours = rollup_bars(grid, 3600).cache()
+        return {("sample", 60): grid, ("sample", 3600): hours, ("feature", 3600): time_bar_features(hours, 3600), ("label", 3600): time_bar_labels(hours, 3600)}
+
+    for (layer, _), frame in layers(early).items():
+        SNK.write_layer(frame, store, STR.LAYERS[layer])
+    SNK.land_raw(raw_with_trades(spark, trades(spark, early + late)), store)
+    STR.repair_touched(spark, store, trades(spark, late), intervals=[3600])
+    bars = SNK.read_layer(spark, store, "sample.bars_time", latest=False, interval_sec=60)
+    newer = bars.groupBy("symbol", "bar_time").count().where("count > 1").orderBy("symbol", "bar_time").collect()
+    # A: from its day's start to the trade at 00:05; B: its last day, as no trade follows
+    assert [(r.symbol, r.bar_time.day, r.bar_time.minute) for r in newer] == [("A", 2, m) for m in range(5)] + [("B", 16, m) for m in range(5)]
+    for (layer, interval), expected in layers(early + late).items():
+        got = SNK.read_layer(spark, store, STR.LAYERS[layer], interval_sec=interval)
+        columns = [F.round(c, 7).alias(c) if t == "double" else F.col(c) for c, t in expected.dtypes if c not in ("_version", "_run_id")]
+        a, b = got.select(*columns).cache(), expected.select(*columns).cache()
+        assert a.count() == b.count() and a.exceptAll(b).isEmpty()
